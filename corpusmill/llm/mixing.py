@@ -7,8 +7,8 @@ total less the prefix' clamps, over the weights that remain.
 
 A source that takes 2.3 epochs takes each document twice and a seeded choice of whole documents a third time, the last
 of them for a fraction of its words, so that the words taken meet the target. The choice follows the documents' hash
-order, found by two-level prefix sums: sizes are summed for each (source, hash bucket) before any shuffle, and only the
-one bucket in which a source's target falls is ordered row by row. No task ever holds a whole source.
+order, found by prefix sums on two levels: sizes are summed for each (source, hash bucket) before any shuffle, and only
+the one bucket in which a source's target falls is ordered row by row. No task ever holds a whole source.
 """
 
 from __future__ import annotations
@@ -22,7 +22,9 @@ from corpusmill.llm.common import WORD_PATTERN, Scratch, blank, read_table
 WEIGHTS = (5.0, 2.0, 1.0)
 MAX_EPOCHS = 3
 SEED = 17
-BUCKETS = 1 << 16
+#: Hash buckets of the seeded order: LEVEL coarse ones, each of LEVEL fine ones.
+LEVEL = 1 << 8
+BUCKETS = LEVEL * LEVEL
 
 
 def word_count(text: Column) -> Column:
@@ -51,23 +53,37 @@ def _placed(df: DataFrame, id_col: str, text_col: str, source_col: str, seed: in
     return out.withColumn("_bucket", F.shiftrightunsigned("_place", 48).cast("int"))
 
 
+def _edge(sums: DataFrame, targets: DataFrame) -> DataFrame:
+    """sums: (_source, key, words), at most LEVEL keys a source. Adds to targets (which has before and quota) the key in
+    which the quota ends and the words before it; a quota that no key holds ends behind all of them."""
+    earlier = Window.partitionBy("_source").orderBy("key").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.withColumn("sum_before", F.coalesce(F.sum("words").over(earlier), F.lit(0).cast("long")))
+    both = targets.join(sums, F.col("source").eqNullSafe(F.col("_source")), "left")
+    low = F.col("before") + F.col("sum_before")
+    holds = (low <= F.col("quota")) & (F.col("quota") < low + F.col("words"))
+    group = [c for c in targets.columns if c != "before"]
+    return both.groupBy(*group).agg(F.max(F.when(holds, F.col("key"))).alias("key"), F.coalesce(F.max(F.when(holds, low)), F.lit(0).cast("long")).alias("before"))
+
+
 def _plan(placed: DataFrame, scratch: Scratch, max_epochs: int) -> DataFrame:
-    """One row per source: target, whole epochs, quota of words for the fractional one, and the hash bucket where the quota ends."""
-    buckets = scratch.save(placed.groupBy("_source", "_bucket").agg(F.sum("_size").alias("words")), "buckets")
-    sizes = buckets.groupBy(F.col("_source").alias("source")).agg(F.sum("words").alias("source_size"))
+    """One row per source: target, whole epochs, quota of words for the fractional one, and the hash bucket where the quota ends.
+
+    The bucket is found from coarse sums, then from fine sums within the one coarse bucket, so that no window sees more
+    than LEVEL rows of a source, however many documents it has.
+    """
+    coarse = F.shiftright("_bucket", 8)
+    sums = scratch.save(placed.groupBy("_source", coarse.alias("key")).agg(F.sum("_size").alias("words")), "coarse")
+    sizes = sums.groupBy(F.col("_source").alias("source")).agg(F.sum("words").alias("source_size"))
     targets = source_targets(sizes, max_epochs=max_epochs)
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     targets = targets.withColumn("epochs", F.least(F.floor(ratio), F.lit(max_epochs)).cast("long"))
     targets = targets.withColumn("quota", F.round(F.col("target") - F.col("epochs") * F.col("source_size")).cast("long"))
-    earlier = Window.partitionBy("_source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    buckets = buckets.withColumn("before", F.coalesce(F.sum("words").over(earlier), F.lit(0).cast("long")))
-    both = targets.join(buckets, F.col("source").eqNullSafe(F.col("_source")))
-    holds = (F.col("before") <= F.col("quota")) & (F.col("quota") < F.col("before") + F.col("words"))
-    # A quota that no bucket holds is the whole source, or an empty one: every bucket lies below the edge.
-    plan = both.groupBy("source", "source_size", "target", "epochs", "quota").agg(
-        F.coalesce(F.max(F.when(holds, F.col("_bucket"))), F.lit(BUCKETS)).alias("edge_bucket"), F.coalesce(F.max(F.when(holds, F.col("before"))), F.lit(0).cast("long")).alias("edge_before")
-    )
-    return scratch.save(plan, "plan")
+    targets = targets.select("source", "source_size", "target", "epochs", "quota", F.lit(0).cast("long").alias("before"))
+    first = scratch.save(_edge(sums, targets), "coarse-edges")
+    near = placed.join(first.select(F.col("source").alias("edge_source"), F.col("key").alias("edge_key")), F.col("_source").eqNullSafe(F.col("edge_source")) & (coarse == F.col("edge_key")), "left_semi")
+    sums = near.groupBy("_source", F.col("_bucket").alias("key")).agg(F.sum("_size").alias("words"))
+    fine = _edge(sums, first.drop("key"))
+    return scratch.save(fine.select("source", "source_size", "target", "epochs", "quota", F.coalesce("key", F.lit(BUCKETS)).alias("edge_bucket"), F.col("before").alias("edge_before")), "plan")
 
 
 def _decide(placed: DataFrame, plan: DataFrame) -> DataFrame:
@@ -108,7 +124,8 @@ def mixed_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     scratch = Scratch(df.sparkSession, "mixing-texts")
     rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.col(source_col).alias("_origin"))
     placed = _placed(rows, "_id", "_text", "_origin", seed).drop("_id", "_origin")
-    done = _decide(placed, _plan(placed.select("_source", "_bucket", "_size"), scratch, max_epochs))
+    slim = scratch.save(placed.select("_source", "_bucket", "_size"), "placed")
+    done = _decide(placed, _plan(slim, scratch, max_epochs))
     copies = F.col("epochs") + F.when(F.col("extra") > 0, 1).otherwise(0)
     done = done.where(copies > 0).withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("long"), copies - 1)))
     partial = (F.col("_copy") == F.col("epochs")) & (F.col("extra") < F.col("_size"))
