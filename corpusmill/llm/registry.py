@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from corpusmill.llm.exact_dedup import OP8_SQL, op8_exact_dedup
 from corpusmill.llm.mixing import op10_mixing
+from corpusmill.llm.near_dedup import op5_near_dedup
 from corpusmill.llm.packing import op3_packing
 from corpusmill.llm.quality import op1_quality
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_quality": op1_quality, "op3_packing": op3_packing, "op8_exact_dedup": op8_exact_dedup, "op10_mixing": op10_mixing}
+    return {"op1_quality": op1_quality, "op3_packing": op3_packing, "op5_near_dedup": op5_near_dedup, "op8_exact_dedup": op8_exact_dedup, "op10_mixing": op10_mixing}
 
 
 def oracle_sql() -> dict[str, str]:
