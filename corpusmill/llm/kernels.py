@@ -52,6 +52,17 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return bytes_[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def slices(column: pa.Array, most: int = 1 << 21) -> list[tuple[int, int]]:
+    """Ranges of rows with at most `most` bytes of text (one row at least): what a kernel holds at a time."""
+    _, offsets = text_buffer(column)
+    out, a = [], 0
+    while a < len(column):
+        b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + most, "right")) - 1)
+        out.append((a, b))
+        a = b
+    return out
+
+
 def runs_of(mask: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the maximal runs of True that lie within one text."""
     n = len(mask)

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.llm.common import Scratch, read_table
-from corpusmill.llm.kernels import IS_SPACE, LOWER, hash_spans, mix64, runs_of, text_buffer
+from corpusmill.llm.kernels import IS_SPACE, LOWER, hash_spans, mix64, runs_of, slices, text_buffer
 
 BITS = 18
 #: Labelled rows that the model is fitted on, at most (a documented bound; rows are taken in seeded hash order).
@@ -112,6 +112,11 @@ def fit(examples: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, passe
 
 def score(column: pa.Array, weights: np.ndarray) -> np.ndarray:
     """Scores of whole texts: a sparse dot product each. Without any n-gram the bias decides."""
+    parts = [_score(column.slice(a, b - a), weights) for a, b in slices(column)]
+    return np.concatenate(parts) if parts else np.zeros(0)
+
+
+def _score(column: pa.Array, weights: np.ndarray) -> np.ndarray:
     grams, first = ngrams(column)
     total = np.zeros(grams.shape[1] + 1)
     np.cumsum(weights[grams].sum(axis=0, dtype=np.float64), out=total[1:])
@@ -126,8 +131,10 @@ def held_out(id_: Column) -> Column:
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        grams, first = ngrams(batch.column("text"))
-        rows = [example(grams[:, a:b]) for a, b in zip(first[:-1], first[1:], strict=True)]
+        rows = []
+        for low, high in slices(batch.column("text")):
+            grams, first = ngrams(batch.column("text").slice(low, high - low))
+            rows += [example(grams[:, a:b]) for a, b in zip(first[:-1], first[1:], strict=True)]
         yield pa.RecordBatch.from_arrays(
             [batch.column("place"), batch.column("label"), pa.array([r[0].astype("<i4").tobytes() for r in rows], pa.binary()), pa.array([r[1].astype("<f4").tobytes() for r in rows], pa.binary())],
             ["place", "label", "at", "value"],
