@@ -32,8 +32,8 @@ CAPACITY = 2048
 END_ID = 0
 #: Pieces that one hash bucket of a length holds on average while pieces are numbered.
 BUCKET_ROWS = 50_000
-#: Words whose ids a Python worker remembers, and the longest of them; about 100 MB.
-CACHE_WORDS, CACHE_CHARS = 300_000, 40
+#: Words whose ids a Python worker remembers, and the longest of them; about 220 MB.
+CACHE_WORDS, CACHE_CHARS = 1_000_000, 40
 
 
 class WordTokens:
