@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.llm.common import Scratch, power_of_two, read_table
 from corpusmill.llm.components import connected_components
-from corpusmill.llm.kernels import mix64, sequence_hash, shingle_hashes, words
+from corpusmill.llm.kernels import mix64, sequence_hash, shingle_hashes, slices, words
 
 BINS = 128
 BANDS = 32
@@ -97,8 +97,8 @@ def band_keys(signature: np.ndarray) -> np.ndarray:
 def _sketch(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
+            for low, high in slices(batch.column("text")):
+                part = batch.slice(low, high - low)
                 sets = shingle_sets(part.column("text"), width)
                 some = [k for k, own in enumerate(sets) if len(own)]
                 keys = band_keys(signatures([sets[k] for k in some])).view(np.int64) if some else np.zeros((0, BANDS), np.int64)
@@ -137,8 +137,8 @@ def _sets_of(width: int, field, bits: int):
             if have is not None and batch.num_rows:
                 hashes = batch.column("id_hash").to_numpy(zero_copy_only=False)
                 batch = batch.filter(pa.array(np.logical_and.reduce([have[at] for at in _bloom_positions(hashes, bits)])))
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
+            for low, high in slices(batch.column("text")):
+                part = batch.slice(low, high - low)
                 sets = shingle_sets(part.column("text"), width)
                 yield pa.RecordBatch.from_arrays([part.column("id"), pa.array([own.tobytes() for own in sets], pa.binary())], ["id", "own"])
 
