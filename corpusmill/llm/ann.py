@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 from corpusmill.llm.common import Scratch, read_table
 
 #: Pivots: a bounded sample, in the order of a seeded hash.
-PIVOTS = 512
-PREFIX = 128
+PIVOTS = 256
+PREFIX = 64
 #: Vectors in a block of the index, and queries in a block of queries.
 BLOCK = 8192
 QUERIES = 512
@@ -71,7 +71,7 @@ def _block_rows(pivots: np.ndarray, largest: float, is_query: bool):
         else:
             # Inverted files: entries sorted by pivot; an entry is the vector's row and the pivot's place.
             order = np.argsort(near.reshape(-1), kind="stable")
-            files = np.stack([order // near.shape[1], order % near.shape[1]]).astype("<i2")  # a block has fewer than 2 ** 15 vectors
+            files = np.stack([order // near.shape[1], order % near.shape[1]]).astype("<i2" if len(ids) < 1 << 15 else "<i4")
             first = np.searchsorted(near.reshape(-1)[order], np.arange(len(pivots) + 1)).astype("<i4")
         row = {"block": [int(table.column("block")[0].as_py())], "ids": [ids.tobytes()], "vectors": [vectors.astype("<f8").tobytes()], "files": [files.tobytes()], "first": [first.tobytes()]}
         return pa.table(row, schema=pa.schema([("block", pa.int64()), *[(c, pa.binary()) for c in ("ids", "vectors", "files", "first")]]))
@@ -103,7 +103,7 @@ def _search(k: int, width: int, rerank: float):
                 q_ids, ids = np.frombuffer(row["q_ids"], "<i8"), np.frombuffer(row["ids"], "<i8")
                 q_vectors = np.frombuffer(row["q_vectors"], "<f8").reshape(len(q_ids), -1)
                 vectors = np.frombuffer(row["vectors"], "<f8").reshape(len(ids), -1)
-                found = list(search_block(q_ids, q_vectors, np.frombuffer(row["q_near"], "<i4").reshape(len(q_ids), width), ids, vectors, np.frombuffer(row["files"], "<i2").reshape(2, -1), np.frombuffer(row["first"], "<i4"), k, rerank))
+                found = list(search_block(q_ids, q_vectors, np.frombuffer(row["q_near"], "<i4").reshape(len(q_ids), width), ids, vectors, np.frombuffer(row["files"], "<i2" if len(ids) < 1 << 15 else "<i4").reshape(2, -1), np.frombuffer(row["first"], "<i4"), k, rerank))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([int(f[0]) for f in found], pa.int64()), pa.array([f[1] for f in found], pa.list_(pa.int64())), pa.array([f[2] for f in found], pa.list_(pa.float64()))], ["query_id", "ids", "scores"]
                 )
