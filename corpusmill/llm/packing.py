@@ -32,16 +32,18 @@ CAPACITY = 2048
 END_ID = 0
 #: Pieces that one hash bucket of a length holds on average while pieces are numbered.
 BUCKET_ROWS = 50_000
-#: Words whose ids a Python worker remembers, and the longest of them; about 220 MB.
-CACHE_WORDS, CACHE_CHARS = 1_000_000, 40
+#: Words whose ids a Python worker remembers, and the longest of them; about 320 MB.
+CACHE_WORDS, CACHE_CHARS = 1_500_000, 40
 
 
 class WordTokens:
     """Ids of whole texts by a tokenizer whose ids of a text are those of its white-space separated words in turn.
 
     That holds for tokenizers that drop white space and never merge across it. Words repeat, so their ids (as
-    little-endian bytes) are remembered. Texts with one of U+001C to U+001F, on which str.split and the tokenizer differ,
-    and texts with a special token in them go through the tokenizer whole.
+    little-endian bytes) are remembered. The tokenizer also lower-cases and splits letters from punctuation, so a
+    capitalised word or one with a full stop or comma behind it is put together from remembered parts. Texts with one of
+    U+001C to U+001F, on which str.split and the tokenizer differ, and texts with a special token in them go through the
+    tokenizer whole.
     """
 
     def __init__(self, path: str):
@@ -52,25 +54,41 @@ class WordTokens:
         self.encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.cache: dict[str, bytes] = {}
+        self.tails = dict(zip(".,", self._ids([".", ","]), strict=True))
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.encode(texts, add_special_tokens=False)]
 
+    @staticmethod
+    def _parts(word: str) -> tuple[str, str]:
+        """A lower-case word and the full stop or comma behind it, or the word as it is."""
+        core, tail = (word[:-1], word[-1]) if word[-1] in ".," and len(word) > 1 else (word, "")
+        if not core.isalpha():
+            return word, ""
+        low = core[0].lower()
+        return (low + core[1:], tail) if len(low) == 1 and core[1:].islower() else (core, tail)
+
     def __call__(self, text: str) -> bytes:
         if any(c in text for c in "\x1c\x1d\x1e\x1f") or ("<|" in text and any(s in text for s in self.special)):
             return self._ids([text])[0]
         words = text.split()
-        cache = self.cache
-        new = list(set(words).difference(cache))
-        if new:
-            if len(cache) + len(new) > CACHE_WORDS:
-                cache.clear()
-                new = list(set(words))
-            found = dict(zip(new, self._ids(new), strict=True))
-            cache.update((w, x) for w, x in found.items() if len(w) <= CACHE_CHARS)
-            if len(new) > CACHE_WORDS or any(len(w) > CACHE_CHARS for w in new):
-                return b"".join([found.get(w) or cache.get(w, b"") for w in words])
-        return b"".join([cache[w] for w in words])
+        new = set(words).difference(self.cache)
+        if len(self.cache) + 2 * len(new) > CACHE_WORDS:
+            self.cache.clear()
+            new = set(words)
+        if not new:
+            return b"".join([self.cache[w] for w in words])
+        parts = {w: self._parts(w) for w in new}
+        unknown = list({core for core, _ in parts.values()}.difference(self.cache))
+        found = dict(zip(unknown, self._ids(unknown), strict=True))
+        for w, (core, tail) in parts.items():
+            ids = found.get(core)
+            ids = self.cache[core] if ids is None else ids
+            found[w] = ids + self.tails[tail] if tail else ids
+        out = b"".join([self.cache[w] if w in self.cache else found[w] for w in words])
+        if len(found) < CACHE_WORDS:
+            self.cache.update((w, ids) for w, ids in found.items() if len(w) <= CACHE_CHARS)
+        return out
 
 
 @lru_cache(maxsize=2)
