@@ -26,12 +26,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import Scratch, power_of_two, read_table
+from corpusmill.llm.common import Scratch, read_table
 
 CAPACITY = 2048
 END_ID = 0
 #: Pieces that one hash bucket of a length holds on average while pieces are numbered.
-BUCKET_ROWS = 50_000
+BUCKET_ROWS = 500
 #: Words whose ids a Python worker remembers, and the longest of them; about 320 MB.
 CACHE_WORDS, CACHE_CHARS = 1_500_000, 40
 
@@ -246,10 +246,10 @@ def pack_pieces(pieces: DataFrame, scratch: Scratch, capacity: int = CAPACITY) -
     """Adds sequence_id and offset to (id, piece, start, length, crc); pieces must be a stored table."""
     sizes = scratch.save(pieces.groupBy("length").count(), "histogram")
     histogram = {r["length"]: r["count"] for r in sizes.collect()}  # at most `capacity` rows
-    n = sum(histogram.values())
     plan = pieces.sparkSession.sparkContext.broadcast(plan_sequences(histogram, capacity))
-    buckets = power_of_two(max(1, n / BUCKET_ROWS))
-    rows = pieces.withColumn("bucket", F.pmod(F.xxhash64("id", "piece", "crc"), F.lit(buckets)).cast("int"))
+    # A frequent length gets more buckets; the table of lengths has at most `capacity` rows.
+    buckets = F.broadcast(sizes.select("length", F.ceil(F.col("count") / F.lit(BUCKET_ROWS)).alias("buckets")))
+    rows = pieces.join(buckets, "length").withColumn("bucket", F.pmod(F.xxhash64("id", "piece", "crc"), F.col("buckets")).cast("int")).drop("buckets")
     each = rows.groupBy("length", "bucket").agg(F.count("*").alias("rows"))
     earlier = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     each = each.select("length", "bucket", F.coalesce(F.sum("rows").over(earlier), F.lit(0).cast("long")).alias("before"))
