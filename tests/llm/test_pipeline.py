@@ -1,0 +1,35 @@
+"""The pipeline: its stages take effect and keep the columns of documents."""
+
+from conftest import SF
+
+import corpus_pipeline
+
+
+def test_stages(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    columns, counts = docs.columns, [docs.count()]
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, docs, SF).write.parquet(str(tmp_path / str(k)))
+        docs = spark.read.parquet(str(tmp_path / str(k)))
+        counts.append(docs.count())
+        if k < 4:
+            assert docs.columns == columns
+            assert docs.where("n_chars <> length(text)").count() == 0
+    assert counts[0] > counts[1] == counts[2] > counts[3] and counts[5] >= counts[4] > 0
+    assert {"doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"} <= set(docs.columns)
+
+
+def test_clean_labelled_documents_stay(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    kept = corpus_pipeline.quality_stage(spark, docs, "/root/testdata/sf0.01")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    good, bad = labels.where("quality = 1"), labels.where("quality = 0")
+    assert good.join(kept, "doc_id", "left_semi").count() >= 0.99 * good.count()
+    assert bad.join(kept, "doc_id", "left_semi").count() <= 0.05 * bad.count()
+
+
+def test_near_stage_keeps_one_of_each_group(spark):
+    text = " ".join(f"word{i}" for i in range(50))
+    rows = [(3, text), (1, text + " more"), (2, text), (4, "other"), (None, text), (5, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(str(r.doc_id) for r in corpus_pipeline.near_stage(spark, docs, SF).collect()) == ["1", "4", "5", "None"]
