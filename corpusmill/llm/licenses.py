@@ -17,14 +17,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import read_table
+from corpusmill.llm.common import bound_batches, read_table
 from corpusmill.llm.kernels import LOWER, hash_spans, runs_of, shingle_hashes, slices, text_buffer
 
 GRAM, WINDOW = 3, 2
 #: Diagonals on either side of a hit that the alignment explores.
 BAND = 12
-#: Matched words over template words from which a match is reported.
-COVERAGE = 0.8
+#: Matched words over template words from which a match is reported; templates of few words must match whole, as one
+#: word names the license.
+COVERAGE, SHORT = 0.8, 15
 
 # Public license notices and texts.
 TEMPLATES = {
@@ -164,7 +165,7 @@ def match_words(text: np.ndarray, grams: np.ndarray, index: TemplateIndex, cover
         for group in groups:
             middle = group[len(group) // 2]
             matched, first, last = align(template, text, middle)
-            if matched >= coverage * len(template):
+            if matched >= (coverage if len(template) > SHORT else 1.0) * len(template):
                 found.append((t, first, last, matched))
     # Of overlapping matches the one with the most matched words stays.
     out = []
@@ -207,6 +208,7 @@ def find_licenses(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     most matched words stays, then the first template. Repeated rows and null ids are rows like others; an empty table
     gives no rows. Other columns play no part.
     """
+    bound_batches(df.sparkSession)
     docs = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = docs.schema["id"].dataType.simpleString()
     out = docs.mapInArrow(_scan(templates or TEMPLATES, coverage), f"id {kind}, license string, start long, end long, matched_words long, template_words long")

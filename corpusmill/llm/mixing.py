@@ -126,7 +126,7 @@ def mixed_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     placed = _placed(rows, "_id", "_text", "_origin", seed).drop("_id", "_origin")
     slim = scratch.save(placed.select("_source", "_bucket", "_size"), "placed")
     done = _decide(placed, _plan(slim, scratch, max_epochs))
-    copies = F.col("epochs") + F.when(F.col("extra") > 0, 1).otherwise(0)
+    copies = F.when(F.col("_size") > 0, F.col("epochs") + F.when(F.col("extra") > 0, 1).otherwise(0)).otherwise(0)
     done = done.where(copies > 0).withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("long"), copies - 1)))
     partial = (F.col("_copy") == F.col("epochs")) & (F.col("extra") < F.col("_size"))
     head = F.array_join(F.slice(F.regexp_extract_all(blank(F.col("_text")), F.lit(f"({WORD_PATTERN})"), 1), 1, F.col("extra").cast("int")), " ")
