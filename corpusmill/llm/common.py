@@ -29,10 +29,25 @@ def scratch_root(spark: SparkSession) -> str:
     return root
 
 
+#: Bytes of one Arrow batch between the JVM and Python workers, at most.
+BATCH_BYTES = 4 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Bound Arrow batches by bytes: texts are long, and the default of so many rows a batch bounds nothing.
+
+    This sets spark.sql.execution.arrow.maxBytesPerBatch of the session, unless it is smaller already."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(name, None)
+    if now is None or not now.isdigit() or not 0 < int(now) <= BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 class Scratch:
     """Tables written to the shared folder: they cut lineage, survive lost executors, and can be dropped once read."""
 
     def __init__(self, spark: SparkSession, label: str):
+        bound_batches(spark)
         self.spark = spark
         self.root = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
         self.count = 0

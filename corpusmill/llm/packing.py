@@ -32,8 +32,8 @@ CAPACITY = 2048
 END_ID = 0
 #: Pieces that one hash bucket of a length holds on average while pieces are numbered.
 BUCKET_ROWS = 500
-#: Words whose ids a Python worker remembers, and the longest of them; about 320 MB.
-CACHE_WORDS, CACHE_CHARS = 1_500_000, 40
+#: Words of one generation whose ids a Python worker remembers, and the longest of them; two generations take about 150 MB.
+CACHE_WORDS, CACHE_CHARS = 350_000, 40
 
 
 class WordTokens:
@@ -54,6 +54,7 @@ class WordTokens:
         self.encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.cache: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.tails = dict(zip(".,", self._ids([".", ","]), strict=True))
 
     def _ids(self, texts: list[str]) -> list[bytes]:
@@ -72,22 +73,28 @@ class WordTokens:
         if any(c in text for c in "\x1c\x1d\x1e\x1f") or ("<|" in text and any(s in text for s in self.special)):
             return self._ids([text])[0]
         words = text.split()
-        new = set(words).difference(self.cache)
-        if len(self.cache) + 2 * len(new) > CACHE_WORDS:
-            self.cache.clear()
-            new = set(words)
+        if len(self.cache) > CACHE_WORDS:
+            self.old, self.cache = self.cache, {}
+        cache, old = self.cache, self.old
+        new = set(words).difference(cache)
         if not new:
-            return b"".join([self.cache[w] for w in words])
-        parts = {w: self._parts(w) for w in new}
-        unknown = list({core for core, _ in parts.values()}.difference(self.cache))
-        found = dict(zip(unknown, self._ids(unknown), strict=True))
+            return b"".join([cache[w] for w in words])
+        found = {w: old[w] for w in new if w in old}  # words that are still in use move on to the young generation
+        parts = {w: self._parts(w) for w in new if w not in found}
+        unknown = []
+        for core in {core for core, _ in parts.values()}.difference(cache, found):
+            if core in old:
+                found[core] = old[core]
+            else:
+                unknown.append(core)
+        found.update(zip(unknown, self._ids(unknown), strict=True))
         for w, (core, tail) in parts.items():
             ids = found.get(core)
-            ids = self.cache[core] if ids is None else ids
+            ids = cache[core] if ids is None else ids
             found[w] = ids + self.tails[tail] if tail else ids
-        out = b"".join([self.cache[w] if w in self.cache else found[w] for w in words])
+        out = b"".join([cache[w] if w in cache else found[w] for w in words])
         if len(found) < CACHE_WORDS:
-            self.cache.update((w, ids) for w, ids in found.items() if len(w) <= CACHE_CHARS)
+            cache.update((w, ids) for w, ids in found.items() if len(w) <= CACHE_CHARS)
         return out
 
 

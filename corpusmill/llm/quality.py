@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import Scratch, read_table
+from corpusmill.llm.common import Scratch, bound_batches, read_table
 from corpusmill.llm.kernels import IS_SPACE, LOWER, hash_spans, mix64, runs_of, slices, text_buffer
 
 BITS = 18
@@ -174,6 +174,7 @@ def score_quality(df: DataFrame, weights: np.ndarray, id_col: str = "doc_id", te
     rows get equal scores; an empty table stays empty. id, source and language are never read for a score.
     """
     keep = [c for c in df.columns if c not in ("score", "predicted")]
+    bound_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(weights)
 
     @F.arrow_udf("double")
