@@ -206,11 +206,16 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
             pairs = members.join(hubs, "bucket").where("rep <> hub")
         else:
             known = components.select(F.col("id").alias("rep"), "component")
-            placed = members.join(known, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+            placed = scratch.save(members.join(known, "rep", "left").withColumn("component", F.coalesce("component", "rep")), "placed")
             order = F.max(F.struct(F.xxhash64(F.lit(done), "bucket", "rep").alias("tie"), "rep", "n", "component"))
             hubs = placed.groupBy("bucket").agg(order.alias("hub"), F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
             hubs = hubs.select("bucket", F.col("hub.rep").alias("hub"), F.col("hub.n").alias("hub_n"), F.col("hub.component").alias("hub_component"))
-            pairs = placed.join(hubs, "bucket").where("component <> hub_component")
+            # Buckets of one component are settled and take no part in later rounds.
+            open_ = scratch.save(placed.join(hubs, "bucket"), "open")
+            scratch.drop(members, placed)
+            members = open_.select("bucket", "rep", "n")
+            members._scratch_path = open_._scratch_path
+            pairs = open_.where("component <> hub_component")
         fits = F.least("n", "hub_n") * 100 >= F.greatest("n", "hub_n") * percent
         pairs = pairs.where(fits).select(F.col("rep").alias("u"), F.col("hub").alias("v")).distinct()
         pairs = scratch.save(pairs.join(tested, ["u", "v"], "left_anti") if done else pairs, "pairs")
