@@ -9,6 +9,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_local_roots: dict[str, str] = {}
+
+
 class Tables:
     """Writes and rereads tables in the folder of spark.checkpoint.dir, which all executors share."""
 
@@ -17,8 +20,10 @@ class Tables:
         if root is None:
             if not spark.sparkContext.master.startswith("local"):
                 raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-            root = tempfile.mkdtemp(prefix="corpusmill-")
-            spark.conf.set("spark.checkpoint.dir", root)
+            application = spark.sparkContext.applicationId
+            if application not in _local_roots:
+                _local_roots[application] = tempfile.mkdtemp(prefix="corpusmill-")
+            root = _local_roots[application]
         self.spark, self.path, self.n = spark, f"{root}/{label}-{uuid.uuid4().hex}", 0
 
     def save(self, df: DataFrame) -> DataFrame:
