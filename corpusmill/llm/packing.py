@@ -26,76 +26,89 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import Scratch, read_table
+from corpusmill.llm.common import Scratch, power_of_two, read_table
+from corpusmill.llm.kernels import slices, words
 
 CAPACITY = 2048
 END_ID = 0
 #: Pieces that one hash bucket of a length holds on average while pieces are numbered.
 BUCKET_ROWS = 500
-#: Words of one generation whose ids a Python worker remembers, and the longest of them; two generations take about 150 MB.
-CACHE_WORDS, CACHE_CHARS = 350_000, 40
+#: Words and ids that a Python worker remembers (about 100 MB); it forgets all of them when either is reached.
+CACHE_WORDS, CACHE_IDS = 2_000_000, 16_000_000
 
 
 class WordTokens:
     """Ids of whole texts by a tokenizer whose ids of a text are those of its white-space separated words in turn.
 
-    That holds for tokenizers that drop white space and never merge across it. Words repeat, so their ids (as
-    little-endian bytes) are remembered. The tokenizer also lower-cases and splits letters from punctuation, so a
-    capitalised word or one with a full stop or comma behind it is put together from remembered parts. Texts with one of
-    U+001C to U+001F, on which str.split and the tokenizer differ, and texts with a special token in them go through the
-    tokenizer whole.
+    That holds for tokenizers that drop white space and never merge across it; other white space than the six characters
+    that texts are cut at here stays within words and is the tokenizer's to drop. Words repeat: an open-addressing table
+    of 64-bit word hashes finds the ids of known words for a whole slice of texts at a time, and the tokenizer only sees
+    words that are new to this worker.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, words: int = CACHE_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.cache: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-        self.tails = dict(zip(".,", self._ids([".", ","]), strict=True))
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.encode(texts, add_special_tokens=False)]
-
-    @staticmethod
-    def _parts(word: str) -> tuple[str, str]:
-        """A lower-case word and the full stop or comma behind it, or the word as it is."""
-        core, tail = (word[:-1], word[-1]) if word[-1] in ".," and len(word) > 1 else (word, "")
-        if not core.isalpha():
-            return word, ""
-        low = core[0].lower()
-        return (low + core[1:], tail) if len(low) == 1 and core[1:].islower() else (core, tail)
-
-    def __call__(self, text: str) -> bytes:
-        if any(c in text for c in "\x1c\x1d\x1e\x1f") or ("<|" in text and any(s in text for s in self.special)):
-            return self._ids([text])[0]
-        words = text.split()
-        if len(self.cache) > CACHE_WORDS:
-            self.old, self.cache = self.cache, {}
-        cache, old = self.cache, self.old
-        new = set(words).difference(cache)
-        if not new:
-            return b"".join([cache[w] for w in words])
-        found = {w: old[w] for w in new if w in old}  # words that are still in use move on to the young generation
-        parts = {w: self._parts(w) for w in new if w not in found}
-        unknown = []
-        for core in {core for core, _ in parts.values()}.difference(cache, found):
-            if core in old:
-                found[core] = old[core]
-            else:
-                unknown.append(core)
-        found.update(zip(unknown, self._ids(unknown), strict=True))
-        for w, (core, tail) in parts.items():
-            ids = found.get(core)
-            ids = cache[core] if ids is None else ids
-            found[w] = ids + self.tails[tail] if tail else ids
-        out = b"".join([cache[w] if w in cache else found[w] for w in words])
-        if len(found) < CACHE_WORDS:
-            cache.update((w, ids) for w, ids in found.items() if len(w) <= CACHE_CHARS)
-        return out
+        self.words, self.slots = words, power_of_two(2 * words)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.keys = np.zeros(self.slots, np.uint64)
+        self.at, self.size = np.zeros(self.slots, np.uint32), np.zeros(self.slots, np.uint32)
+        self.ids, self.used, self.known = np.zeros(1 << 16, "<u4"), 0, 0
+
+    def _slots_of(self, keys: np.ndarray) -> np.ndarray:
+        """The slot of each key, or the free slot where its search ends."""
+        slot = (keys & np.uint64(self.slots - 1)).astype(np.int64)
+        open_ = np.flatnonzero((self.keys[slot] != keys) & (self.keys[slot] != 0))
+        while len(open_):
+            slot[open_] = (slot[open_] + 1) & (self.slots - 1)
+            there = self.keys[slot[open_]]
+            open_ = open_[(there != keys[open_]) & (there != 0)]
+        return slot
+
+    def _learn(self, keys: np.ndarray, words: list[str]) -> None:
+        """Distinct new keys and their words into the table."""
+        for low in range(0, len(words), 4096):
+            found = [e.ids for e in self.encode(words[low : low + 4096], add_special_tokens=False)]
+            sizes = np.fromiter(map(len, found), np.uint32, len(found))
+            flat = np.fromiter((i for own in found for i in own), "<u4", int(sizes.sum()))
+            while self.used + len(flat) > len(self.ids):
+                self.ids = np.concatenate((self.ids, np.zeros_like(self.ids)))
+            self.ids[self.used : self.used + len(flat)] = flat
+            left, offsets = keys[low : low + 4096], (self.used + np.cumsum(sizes) - sizes).astype(np.uint32)
+            self.used += len(flat)
+            while len(left):  # keys that meet in a free slot: one gets it, the others search on
+                slot = self._slots_of(left)
+                self.keys[slot] = left
+                won = self.keys[slot] == left
+                self.at[slot[won]], self.size[slot[won]] = offsets[won], sizes[won]
+                left, offsets, sizes = left[~won], offsets[~won], sizes[~won]
+        self.known += len(words)
+
+    def __call__(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts of a column side by side, and where each text's begin (n + 1 places)."""
+        keys, first, starts, ends, data = words(column, lower=False)
+        keys[keys == 0] = 1
+        slot = self._slots_of(keys)
+        new = np.flatnonzero(self.keys[slot] == 0)
+        if len(new):
+            fresh, where = np.unique(keys[new], return_index=True)
+            where = new[where]
+            if self.known + len(fresh) > self.words or self.used > CACHE_IDS:
+                fresh, where = np.unique(keys, return_index=True)
+                self.words = max(self.words, len(fresh))  # one text of very many words makes room for itself
+                self.slots = power_of_two(2 * self.words)
+                self._forget()
+            self._learn(fresh, [data[a:b].tobytes().decode("utf-8", "replace") for a, b in zip(starts[where], ends[where], strict=True)])
+            slot = self._slots_of(keys)
+        sizes = self.size[slot].astype(np.int64)
+        total = np.concatenate(([0], np.cumsum(sizes)))
+        places = np.arange(total[-1]) + np.repeat(self.at[slot].astype(np.int64) - total[:-1], sizes)
+        return self.ids[places], total[first]
 
 
 @lru_cache(maxsize=2)
@@ -108,21 +121,22 @@ def _pieces(path: str, capacity: int, with_ids: bool):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = _word_tokens(path)
-        end = np.array([END_ID], "<u4").tobytes()
-        step = 4 * capacity
+        end = np.array([END_ID], "<u4")
         for batch in batches:
             owner, piece, start, length, crc, ids = [], [], [], [], [], []
-            for row, text in enumerate(batch.column("text")):
-                data = tokens(text.as_py() or "") + end
-                for k, at in enumerate(range(0, len(data), step)):
-                    part = data[at : at + step]
-                    owner.append(row)
-                    piece.append(k)
-                    start.append(at // 4)
-                    length.append(len(part) // 4)
-                    crc.append(zlib.crc32(part))
-                    if with_ids:
-                        ids.append(np.frombuffer(part, "<i4"))
+            for low, high in slices(batch.column("text")):
+                flat, first = tokens(batch.column("text").slice(low, high - low))
+                for row, (a, b) in enumerate(zip(first[:-1].tolist(), first[1:].tolist(), strict=True), low):
+                    whole = np.concatenate((flat[a:b], end))
+                    for k, at in enumerate(range(0, len(whole), capacity)):
+                        part = whole[at : at + capacity]
+                        owner.append(row)
+                        piece.append(k)
+                        start.append(at)
+                        length.append(len(part))
+                        crc.append(zlib.crc32(part))
+                        if with_ids:
+                            ids.append(part.astype("<i4"))
             columns = [batch.column("id").take(pa.array(owner, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())]
             names = ["id", "piece", "start", "length", "crc"]
             if with_ids:
@@ -249,13 +263,13 @@ def _places(plan):
     return run
 
 
-def pack_pieces(pieces: DataFrame, scratch: Scratch, capacity: int = CAPACITY) -> DataFrame:
+def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Adds sequence_id and offset to (id, piece, start, length, crc); pieces must be a stored table."""
-    sizes = scratch.save(pieces.groupBy("length").count(), "histogram")
-    histogram = {r["length"]: r["count"] for r in sizes.collect()}  # at most `capacity` rows
+    histogram = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}  # at most `capacity` rows
     plan = pieces.sparkSession.sparkContext.broadcast(plan_sequences(histogram, capacity))
     # A frequent length gets more buckets; the table of lengths has at most `capacity` rows.
-    buckets = F.broadcast(sizes.select("length", F.ceil(F.col("count") / F.lit(BUCKET_ROWS)).alias("buckets")))
+    frequent = [(length, -(-n // BUCKET_ROWS)) for length, n in histogram.items()]
+    buckets = F.broadcast(pieces.sparkSession.createDataFrame(frequent, "length long, buckets long"))
     rows = pieces.join(buckets, "length").withColumn("bucket", F.pmod(F.xxhash64("id", "piece", "crc"), F.col("buckets")).cast("int")).drop("buckets")
     each = rows.groupBy("length", "bucket").agg(F.count("*").alias("rows"))
     earlier = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -277,7 +291,7 @@ def pack_documents(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
     """
     scratch = Scratch(df.sparkSession, "packing")
     pieces = scratch.save(tokenized_pieces(df, tokenizer_path, id_col, text_col, capacity), "pieces")
-    out = pack_pieces(pieces, scratch, capacity)
+    out = pack_pieces(pieces, capacity)
     return out.select(F.col("id").alias(id_col), "piece", "start", "length", F.col("crc").alias("ids_crc32"), "sequence_id", "offset")
 
 

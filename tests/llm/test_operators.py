@@ -156,6 +156,18 @@ def test_packing_round_trip(spark):
     assert packing.pack_documents(docs(spark, rows).limit(0), path).count() == 0
 
 
+def test_word_table_forgets_and_grows():
+    rng = random.Random(12)
+    texts = [prose(rng.choice([1, 40, 200]), rng).title() for _ in range(60)] + ["x" * 5000, "Ünï. cödé, 東京 \x1c a\x1db", "", None, "a <|endoftext|>b"]
+    table = packing.WordTokens(packing.default_tokenizer(), 100)
+    column = pa.array(texts)
+    for a, b in kernels.slices(column, 2000):
+        ids, first = table(column.slice(a, b - a))
+        for k in range(a, b):
+            assert ids[first[k - a] : first[k - a + 1]].tolist() == table.tokenizer.encode(texts[k] or "", add_special_tokens=False).ids
+    assert table.words > 100
+
+
 def best_fit_decreasing(lengths, capacity):
     room = []
     for x in sorted(lengths, reverse=True):
