@@ -13,6 +13,9 @@ SPACE_CLASS = r" \t-\r"
 WORD_PATTERN = rf"[^{SPACE_CLASS}]+"
 
 
+_local_roots: dict[str, str] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -24,9 +27,10 @@ def scratch_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-    root = tempfile.mkdtemp(prefix="corpusmill-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    application = spark.sparkContext.applicationId
+    if application not in _local_roots:
+        _local_roots[application] = tempfile.mkdtemp(prefix="corpusmill-")
+    return _local_roots[application]
 
 
 #: Bytes of one Arrow batch between the JVM and Python workers, at most.

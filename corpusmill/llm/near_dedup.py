@@ -161,7 +161,7 @@ def _confirmed(percent: int):
     return run
 
 
-def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, max_rounds: int | None = None) -> DataFrame:
+def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """Link documents whose distinct word shingles have a Jaccard similarity of at least percent / 100.
 
     Words are runs without white space [\\x20\\x09-\\x0D], A-Z in lower case; shingles have `width` words, and a text with
@@ -170,7 +170,7 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
 
     Null and empty texts, and texts of white space, have no shingle and no link. Rows with a null id take no part:
     component_id null, kept true. Repeated rows and rows that share an id are one node of the graph and come back as
-    often as they came. An empty table gives no rows. Other columns play no part. max_rounds is for tests only.
+    often as they came. An empty table gives no rows. Other columns play no part.
     """
     spark, scratch = df.sparkSession, Scratch(df.sparkSession, "near-dedup")
     docs = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
@@ -225,13 +225,10 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
         found = scratch.save(found, "links")
         tested = tested.unionByName(pairs)
         done += 1
-        if found.isEmpty() and done > 1 or done == max_rounds:
-            links = links.unionByName(found)
+        if done > 1 and found.isEmpty():
             break
         links = links.unionByName(found)
         components = connected_components(links, scratch)
-    if components is None or max_rounds:
-        components = connected_components(links, scratch)
     scratch.drop(members, sets)
 
     known = components.select(F.col("id").alias("rep"), "component")
