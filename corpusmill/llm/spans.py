@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 SPAN = "struct<s:int,e:int,t:string,before:string,after:string>"
 
 
-def regex_spans(text: Column, pattern: str, fits: Callable[[Column], Column] | None = None, context: bool = False) -> Column:
+def regex_spans(text: Column, pattern: str, fits: Callable[[Column], Column] | None = None, context: bool = False, guard: Column | None = None) -> Column:
     """All leftmost non-overlapping matches of a Java pattern as an array of (s, e, t): offsets in code points, end
     exclusive, and the matched text; with context also the texts between it and its neighbours. Matches that `fits`
-    refuses are left out; nothing is tried in their place.
+    refuses are left out; nothing is tried in their place. guard is a cheap condition without which a text has no match.
 
     Spark returns matches without offsets. The texts between matches come from splitting by the same pattern, and
     offsets are running sums of both lengths.
@@ -33,4 +33,5 @@ def regex_spans(text: Column, pattern: str, fits: Callable[[Column], Column] | N
     none = F.array().cast(f"array<{SPAN}>")
     spans = F.aggregate(zipped, F.struct(F.lit(0).alias("at"), none.alias("out")), step, lambda state: state.out)
     spans = F.filter(spans, lambda x: fits(x.t)) if fits else spans
-    return F.when(F.size(found) > 0, spans).otherwise(none)
+    some = F.when(F.size(found) > 0, spans).otherwise(none)
+    return some if guard is None else F.when(guard, some).otherwise(none)
