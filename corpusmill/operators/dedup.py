@@ -26,12 +26,14 @@ def normalised(text: Column) -> Column:
 def exact_marks(df: DataFrame, key: str = "doc_id", source: str = "source", text_col: str = "text") -> DataFrame:
     """(source, key, text_hash, is_duplicate): per source and normalised text the smallest key is no duplicate.
 
-    The survivor is a minimum, found by an aggregate that starts before the shuffle: a hot text never meets in one task.
+    The survivor is a minimum, found by an aggregate that starts before the shuffle, and only texts that repeat are kept
+    and stored. The join back is between two plain exchanges, so adaptive execution can split a hot text.
     """
     hashed = df.select(source, key, F.sha2(normalised(text_or_empty(text_col)), 256).alias("text_hash"))
-    first = hashed.groupBy(source, "text_hash").agg(F.min(key).alias("first_key"))
-    joined = hashed.alias("h").join(first.alias("f"), (F.col("h.text_hash") == F.col("f.text_hash")) & F.col(f"h.{source}").eqNullSafe(F.col(f"f.{source}")))
-    return joined.select(F.col(f"h.{source}").alias(source), F.col(f"h.{key}").alias(key), F.col("h.text_hash").alias("text_hash"), (F.col(f"h.{key}") != F.col("first_key")).alias("is_duplicate"))
+    first = hashed.groupBy(source, "text_hash").agg(F.min(key).alias("first_key"), F.count("*").alias("n")).where("n > 1").drop("n")
+    first = Tables(df.sparkSession, "exact").save(first)
+    joined = hashed.alias("h").join(first.alias("f"), (F.col("h.text_hash") == F.col("f.text_hash")) & F.col(f"h.{source}").eqNullSafe(F.col(f"f.{source}")), "left")
+    return joined.select(F.col(f"h.{source}").alias(source), F.col(f"h.{key}").alias(key), F.col("h.text_hash").alias("text_hash"), F.coalesce(F.col(f"h.{key}") != F.col("first_key"), F.lit(False)).alias("is_duplicate"))
 
 
 def exact_dedup(df: DataFrame, key: str = "doc_id", source: str = "source", text_col: str = "text") -> DataFrame:
@@ -95,7 +97,8 @@ def near_marks(df: DataFrame, key: str = "doc_id", source: str = "source", text_
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
     banded = docs.mapInArrow(_banded, f"source {kinds['source']}, ord {kinds['ord']}, bands array<long>")
     rows = tables.save(banded.select("source", "ord", F.posexplode("bands").alias("band", "hash")))
-    shared = rows.groupBy("source", "band", "hash").agg(F.count("*").alias("size")).where("size > 1").withColumnRenamed("source", "bucket_source")
+    # Joins by bucket are between stored tables, so that a bucket with very many documents can be split.
+    shared = tables.save(rows.groupBy("source", "band", "hash").agg(F.count("*").alias("size")).where("size > 1").withColumnRenamed("source", "bucket_source"))
     members = tables.save(
         rows.alias("r").join(shared.alias("s"), (F.col("r.band") == F.col("s.band")) & (F.col("r.hash") == F.col("s.hash")) & F.col("r.source").eqNullSafe(F.col("s.bucket_source"))).select("r.*")
     )
@@ -106,7 +109,7 @@ def near_marks(df: DataFrame, key: str = "doc_id", source: str = "source", text_
             known = members.alias("m").join(kept.select(F.col("source").alias("ks"), F.col("ord").alias("ko")), F.col("source").eqNullSafe(F.col("ks")) & (F.col("ord") == F.col("ko")), "left_semi")
             state = state.unionByName(known.select("source", "ord", "band", "hash", F.lit(True).alias("is_kept")))
         first = state.groupBy("source", "band", "hash").agg(F.min(F.when(F.col("is_kept"), F.col("ord"))).alias("first_kept"), F.min(F.when(~F.col("is_kept"), F.col("ord"))).alias("first_open"))
-        first = first.withColumnRenamed("source", "fs")
+        first = tables.save(first.withColumnRenamed("source", "fs"))
         seen = open_.alias("o").join(first.alias("f"), (F.col("o.band") == F.col("f.band")) & (F.col("o.hash") == F.col("f.hash")) & F.col("o.source").eqNullSafe(F.col("f.fs")))
         verdict = seen.groupBy("o.source", "o.ord").agg(
             F.coalesce(F.max(F.col("first_kept") < F.col("o.ord")), F.lit(False)).alias("behind_kept"), F.coalesce(F.max(F.col("first_open") < F.col("o.ord")), F.lit(False)).alias("behind_open")
