@@ -14,7 +14,7 @@ LOWER[65:91] += 32
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 #: Bytes that are hashed at once; bounds the memory of the power tables and prefix sums.
-WINDOW = 1 << 20
+WINDOW = 1 << 17
 _tables: dict[str, np.ndarray] = {}
 
 
@@ -52,7 +52,7 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return bytes_[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def slices(column: pa.Array, most: int = 1 << 21) -> list[tuple[int, int]]:
+def slices(column: pa.Array, most: int = 1 << 18) -> list[tuple[int, int]]:
     """Ranges of rows with at most `most` bytes of text (one row at least): what a kernel holds at a time."""
     _, offsets = text_buffer(column)
     out, a = [], 0
