@@ -32,11 +32,11 @@ def _digest(edges: DataFrame) -> tuple:
 def connected_components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """edges: (u, v), u <> v, in any order, repeats allowed. Returns (id, component) of every node that is not the smallest
     of its component; component is the smallest node reachable."""
-    now = scratch.save(edges.select("u", "v").distinct(), "edges")
+    now = scratch.save(edges.select("u", "v").distinct(), "edges", narrow=True)
     before = _digest(now)
     while True:
-        large = scratch.save(_large_star(now), "large-star")
-        small = scratch.save(_small_star(large), "small-star")
+        large = scratch.save(_large_star(now), "large-star", narrow=True)
+        small = scratch.save(_small_star(large), "small-star", narrow=True)
         after = _digest(small)
         scratch.drop(now, large)
         now = small

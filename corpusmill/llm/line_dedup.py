@@ -37,7 +37,7 @@ def boilerplate_lines(df: DataFrame, host: Column, text: Column, scratch: Scratc
     counts = counts.where(F.col("pages") >= min_pages)
     totals = pages.groupBy("host").agg(F.count("*").alias("host_pages")).withColumnRenamed("host", "total_host")
     found = counts.join(totals, F.col("host").eqNullSafe(F.col("total_host"))).where(F.col("pages") > F.col("host_pages") * F.lit(max_ratio))
-    return scratch.save(found.groupBy("host").agg(F.sort_array(F.collect_set("line_key")).alias("line_keys")), "boilerplate")
+    return scratch.save(found.groupBy("host").agg(F.sort_array(F.collect_set("line_key")).alias("line_keys")), "boilerplate", narrow=True)
 
 
 def dedup_lines(df: DataFrame, host: Column | str = "source", text_col: str = "text", max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES) -> DataFrame:

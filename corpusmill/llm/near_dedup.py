@@ -180,9 +180,11 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
     classes = scratch.save(nodes.groupBy("set_key").agg(F.min("id").alias("rep"), F.count("*").alias("members"), F.first("n").alias("n"), F.first("bands").alias("bands")), "classes")
 
     spread = classes.select("rep", "n", F.explode("bands").alias("bucket"))
-    shared = spread.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
+    # What is joined by bucket is stored first: both sides of a join are then plain exchanges, and adaptive execution can
+    # split a bucket that holds a third of all rows.
+    shared = scratch.save(spread.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"), "shared", narrow=True)
     members = scratch.save(spread.join(shared, "bucket"), "members")
-    weight = members.groupBy("rep").agg(F.sum("size").alias("weight"))
+    weight = scratch.save(members.groupBy("rep").agg(F.sum("size").alias("weight")), "weight", narrow=True)
 
     node_ids = members.select(F.xxhash64("rep").alias("h")).distinct()
     bits = power_of_two(12 * max(64, node_ids.count()))
@@ -196,40 +198,45 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
         texts = texts.join(node_ids.withColumnRenamed("h", "id_hash"), "id_hash", "left_semi")
     sets = scratch.save(texts.mapInArrow(_sets_of(width, field, bits), f"id {kind}, own binary"), "sets")
 
-    none = spark.createDataFrame([], f"u {kind}, v {kind}")
-    links, tested, components = none, none, None
-    done = 0
-    while True:
-        if done == 0:
-            order = F.max(F.struct(F.col("weight"), F.xxhash64("rep").alias("tie"), "rep", "n"))
-            hubs = members.join(weight, "rep").groupBy("bucket").agg(order.alias("hub")).select("bucket", F.col("hub.rep").alias("hub"), F.col("hub.n").alias("hub_n"))
-            pairs = members.join(hubs, "bucket").where("rep <> hub")
-        else:
-            known = components.select(F.col("id").alias("rep"), "component")
-            placed = scratch.save(members.join(known, "rep", "left").withColumn("component", F.coalesce("component", "rep")), "placed")
-            order = F.max(F.struct(F.xxhash64(F.lit(done), "bucket", "rep").alias("tie"), "rep", "n", "component"))
-            hubs = placed.groupBy("bucket").agg(order.alias("hub"), F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-            hubs = hubs.select("bucket", F.col("hub.rep").alias("hub"), F.col("hub.n").alias("hub_n"), F.col("hub.component").alias("hub_component"))
-            # Buckets of one component are settled and take no part in later rounds.
-            open_ = scratch.save(placed.join(hubs, "bucket"), "open")
-            scratch.drop(members, placed)
-            members = open_.select("bucket", "rep", "n")
-            members._scratch_path = open_._scratch_path
-            pairs = open_.where("component <> hub_component")
-        fits = F.least("n", "hub_n") * 100 >= F.greatest("n", "hub_n") * percent
-        pairs = pairs.where(fits).select(F.col("rep").alias("u"), F.col("hub").alias("v")).distinct()
-        pairs = scratch.save(pairs.join(tested, ["u", "v"], "left_anti") if done else pairs, "pairs")
+    def confirm(pairs: DataFrame) -> DataFrame:
         own = sets.select(F.col("id").alias("u"), F.col("own").alias("own_a"))
         hub_own = sets.select(F.col("id").alias("v"), F.col("own").alias("own_b"))
-        found = pairs.join(own, "u").join(hub_own, "v").select("u", "v", "own_a", "own_b").mapInArrow(_confirmed(percent), f"u {kind}, v {kind}")
-        found = scratch.save(found, "links")
-        tested = tested.unionByName(pairs)
-        done += 1
-        if done > 1 and found.isEmpty():
+        joined = pairs.join(own, "u").join(hub_own, "v").select("u", "v", "own_a", "own_b")
+        return scratch.save(joined.mapInArrow(_confirmed(percent), f"u {kind}, v {kind}"), "links", narrow=True)
+
+    def candidates(rows: DataFrame) -> DataFrame:
+        """Distinct (member, hub) pairs whose set sizes allow a link."""
+        fits = F.least("n", "hub_n") * 100 >= F.greatest("n", "hub_n") * percent
+        return rows.where(fits).select(F.col("rep").alias("u"), F.col("hub").alias("v")).distinct()
+
+    busiest = F.max(F.struct("weight", F.xxhash64("rep").alias("tie"), "rep", "n"))
+    hubs = members.join(weight, "rep").groupBy("bucket").agg(busiest.alias("hub"))
+    hubs = scratch.save(hubs.select("bucket", F.col("hub.rep").alias("hub"), F.col("hub.n").alias("hub_n")), "hubs", narrow=True)
+    tested = scratch.save(candidates(members.join(hubs, "bucket").where("rep <> hub")), "pairs", narrow=True)
+    links = confirm(tested)
+    components = connected_components(links, scratch)
+
+    # Buckets that hold several components stay open. Components are not renewed between rounds: a round finds few links,
+    # and what it merges is only compared once more than needed.
+    known = components.select(F.col("id").alias("rep"), "component")
+    placed = scratch.save(members.select("bucket", "rep", "n").join(known, "rep", "left").withColumn("component", F.coalesce("component", "rep")), "placed")
+    split = scratch.save(placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("bucket"), "split", narrow=True)
+    open_ = scratch.save(placed.join(split, "bucket", "left_semi"), "open")
+    scratch.drop(members, placed)
+    turn = 1
+    while True:
+        seeded = F.max(F.struct(F.xxhash64(F.lit(turn), "bucket", "rep").alias("tie"), "rep", "n", "component"))
+        hubs = open_.groupBy("bucket").agg(seeded.alias("hub"))
+        hubs = scratch.save(hubs.select("bucket", F.col("hub.rep").alias("hub"), F.col("hub.n").alias("hub_n"), F.col("hub.component").alias("hub_component")), "hubs", narrow=True)
+        fresh = candidates(open_.join(hubs, "bucket").where("component <> hub_component")).join(tested, ["u", "v"], "left_anti")
+        fresh = scratch.save(fresh, "pairs", narrow=True)
+        found = confirm(fresh)
+        if found.isEmpty():
             break
-        links = links.unionByName(found)
+        links, tested, turn = links.unionByName(found), tested.unionByName(fresh), turn + 1
+    if turn > 1:
         components = connected_components(links, scratch)
-    scratch.drop(members, sets)
+    scratch.drop(open_, sets)
 
     known = components.select(F.col("id").alias("rep"), "component")
     joined = classes.select("set_key", "rep", "members").join(known, "rep", "left")
