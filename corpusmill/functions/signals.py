@@ -24,8 +24,8 @@ def alpha_ratio(text: Column) -> Column:
 
 def script_ratio(text: Column, config: FilterConfig = HEBREW_PROFILE) -> Column:
     """Letters of the wanted script over all letters counted; 0 without any."""
-    letters = F.length(F.regexp_replace(text, config.letters.replace("[", "[^", 1) + "+", ""))
-    wanted = F.length(F.regexp_replace(text, config.script.replace("[", "[^", 1) + "+", ""))
+    # Counted by what is left without them: Java tests a negated class of several ranges ten times slower than the class.
+    letters, wanted = (F.length(text) - F.length(F.regexp_replace(text, f"{c}+", "")) for c in (config.letters, config.script))
     return F.when(letters == 0, F.lit(0.0)).otherwise(wanted / letters)
 
 
