@@ -174,7 +174,7 @@ SIGNAL_SQL = {
     "alpha_ratio": rf"CASE WHEN {_T} = '' THEN 0.0 ELSE length(regexp_replace({_T}, '[^\pL]+', '', 'g')) / length({_T}) END",
     "hebrew_ratio": rf"CASE WHEN length(regexp_replace({_T}, '[^a-zA-Z\x{{0590}}-\x{{06FF}}]+', '', 'g')) = 0 THEN 0.0 ELSE length(regexp_replace({_T}, '[^\x{{0590}}-\x{{05FF}}]+', '', 'g')) / length(regexp_replace({_T}, '[^a-zA-Z\x{{0590}}-\x{{06FF}}]+', '', 'g')) END",
     "latin_ratio": rf"CASE WHEN length(regexp_replace({_T}, '[^a-zA-Z\x{{C0}}-\x{{24F}}\x{{0590}}-\x{{06FF}}]+', '', 'g')) = 0 THEN 0.0 ELSE length(regexp_replace({_T}, '[^a-zA-Z\x{{C0}}-\x{{24F}}]+', '', 'g')) / length(regexp_replace({_T}, '[^a-zA-Z\x{{C0}}-\x{{24F}}\x{{0590}}-\x{{06FF}}]+', '', 'g')) END",
-    "word_repetition": f"CASE WHEN len({_WORDS}) < 5 THEN 0.0 ELSE least((len({_WORDS}) - 4 - len(list_distinct(list_transform(range(1, len({_WORDS}) - 3), lambda i: array_to_string(({_WORDS})[i:i + 4], ' '))))) * 5.0 / len({_WORDS}), 1.0) END",
+    "word_repetition": f"(list_transform([{_WORDS}], lambda w: CASE WHEN len(w) < 5 THEN 0.0 ELSE least((len(w) - 4 - len(list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))))) * 5.0 / len(w), 1.0) END))[1]",
     "duplicate_lines": f"CASE WHEN length(replace({_T}, chr(10), '')) = 0 THEN 0.0 ELSE (length(array_to_string(list_filter({_LINES}, lambda x: {_STRIPPED} <> ''), '')) - length(array_to_string(list_distinct(list_filter({_LINES}, lambda x: {_STRIPPED} <> '')), ''))) / length(replace({_T}, chr(10), '')) END",
     "short_lines": f"CASE WHEN len(list_filter({_LINES}, lambda x: {_STRIPPED} <> '')) = 0 THEN 1.0 ELSE len(list_filter({_LINES}, lambda x: {_STRIPPED} <> '' AND length({_STRIPPED}) < 30)) / len(list_filter({_LINES}, lambda x: {_STRIPPED} <> '')) END",
     "boilerplate": f"CASE WHEN {_T} = '' THEN 0.0 ELSE least(CAST(list_sum(list_transform(list_filter({_LINES}, lambda x: regexp_full_match(x, '[-_=]{{3,}}')), lambda x: length(x))) AS DOUBLE) / length({_T}), 1.0) END",
