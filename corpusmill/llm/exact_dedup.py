@@ -2,8 +2,9 @@
 
 Each partition builds a counting quotient filter over the 64-bit fingerprints of its normalised texts. Filters are cut
 into blocks by the top fingerprint bits; the filters of a block merge losslessly by their sorted remainders, counts
-added. Fingerprints whose merged count exceeds one route their documents to byte verification: only those texts are
-shuffled, and they are grouped by the normalised text itself, so a fingerprint collision never joins unequal texts.
+added. Fingerprints whose merged count exceeds one route their documents to byte verification by a semi-join (which
+shuffles all texts once if the repeats are too many to broadcast): only those texts are grouped, by the normalised text
+itself, so a fingerprint collision never joins unequal texts.
 
 A copied text may make up a third of all rows: a partition's filter holds it once, the grouping by text is partly
 aggregated before its shuffle, and the joins that hand the decision back to the documents are outer joins whose large
