@@ -1,4 +1,4 @@
-"""MinHash near-dedup: one-permutation hashing, optimal densification, banded buckets, star-shaped candidate edges.
+"""MinHash near-dedup: one-permutation hashing, optimal densification, banded buckets, a star and then all open pairs.
 
 1. One pass over whole texts hashes the distinct word shingles once; the 64-bit hash space is cut into BINS bins and the
    least hash of each bin is the signature. Empty bins take the value of a non-empty bin that a universal hash of (bin,
@@ -6,9 +6,9 @@
 2. Documents with equal shingle sets form a class; only its representative (smallest id) goes on. A text copied into a
    third of all rows is one representative, found by an aggregate that starts before the shuffle.
 3. Signatures are cut into BANDS bands; each band is a bucket key. In every bucket each member is compared with one hub
-   only: candidates are bounded by members, not by pairs. The first round's hub is the member that collides most in
-   all; in later rounds a seeded one, and only members outside its component are compared. Rounds go on until one finds
-   no new link.
+   first, the member that collides most in all. Then every pair of a bucket whose ends are still in different components
+   is looked at, in blocks of BLOCK members against each other, so that no task holds a hot bucket. A parity sketch
+   bounds the symmetric difference of two sets from below, so it refuses pairs but never a link.
 4. Links are confirmed on full shingle sets: 100 * intersection >= threshold * union. Sets are rebuilt from text only for
    documents that share a bucket; a Bloom filter of those ids, of checked size, keeps all other texts out of the
    second pass (beyond that size a shuffled semi-join does the same).
@@ -33,6 +33,9 @@ BINS = 128
 BANDS = 32
 #: Attempts of densification before the next non-empty bin is taken (never needed in practice).
 ATTEMPTS = 4096
+#: 64-bit words of a parity sketch, and members of an open bucket that one task compares with as many others (on average).
+PARITY_WORDS = 64
+BLOCK = 1024
 #: Bits of the Bloom filter that is shared with all executors, at most (8 MB).
 BLOOM_BITS = 1 << 26
 _PICKS = (mix64(np.arange(ATTEMPTS * BINS, dtype=np.uint64) + np.uint64(0x5DEECE66D)) % np.uint64(BINS)).astype(np.int64).reshape(ATTEMPTS, BINS)
@@ -94,6 +97,47 @@ def band_keys(signature: np.ndarray) -> np.ndarray:
     return key
 
 
+def parity(own: np.ndarray) -> bytes:
+    """The parity of how many elements fall on each bit. Two sketches differ in no more bits than their sets in elements."""
+    bits = np.bincount((own >> np.uint64(7)).astype(np.int64) % (64 * PARITY_WORDS), minlength=64 * PARITY_WORDS) & 1
+    return np.packbits(bits.astype(np.uint8)).tobytes()
+
+
+def close_pairs(n: np.ndarray, sketch: np.ndarray, component: np.ndarray, block: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows of different components, and of different blocks if there are two, that sizes and sketches allow a link."""
+    low, high = (np.flatnonzero(block == b) for b in (block.min(), block.max()))
+    alone, out = block.min() == block.max(), [np.zeros((2, 0), np.int64)]
+    step = max(1, (1 << 16) // max(1, len(high)))
+    for first in range(0, len(low), step):
+        rows = low[first : first + step]
+        a, b = n[rows][:, None], n[high][None, :]
+        fits = (component[rows][:, None] != component[high][None, :]) & (np.minimum(a, b) * 100 >= np.maximum(a, b) * percent)
+        if alone:
+            fits &= rows[:, None] < high[None, :]
+        x, y = np.nonzero(fits)
+        x, y = rows[x], high[y]
+        differ, most = np.zeros(len(x), np.int64), (n[x] + n[y]) * (100 - percent)
+        for k in range(0, PARITY_WORDS, 8):
+            differ = differ + np.bitwise_count(sketch[x, k : k + 8] ^ sketch[y, k : k + 8]).sum(axis=1, dtype=np.int64)
+            good = differ * (100 + percent) <= most
+            x, y, differ, most = x[good], y[good], differ[good], most[good]
+        out.append(np.stack([x, y]))
+    x, y = np.concatenate(out, axis=1)
+    return x, y
+
+
+def _pairs(percent: int):
+    def run(table: pa.Table) -> pa.Table:
+        rows = table.combine_chunks()
+        sketch = np.frombuffer(b"".join(rows.column("parity").to_pylist()), np.uint64).reshape(-1, PARITY_WORDS)
+        component = rows.column("component").combine_chunks().dictionary_encode().indices.to_numpy()
+        x, y = close_pairs(rows.column("n").to_numpy(), sketch, component, rows.column("block").to_numpy(), percent)
+        ids = rows.column("rep")
+        return pa.table({"u": ids.take(pa.array(x)), "v": ids.take(pa.array(y))})
+
+    return run
+
+
 def _sketch(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -106,8 +150,9 @@ def _sketch(width: int):
                 counts[some] = BANDS
                 bands = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32)), pa.array(keys.reshape(-1)))
                 digests = [hashlib.blake2b(own.tobytes(), digest_size=16).digest() if len(own) else None for own in sets]
-                columns = [part.column("id"), pa.array([len(own) for own in sets], pa.int64()), pa.array(digests, pa.binary()), bands]
-                yield pa.RecordBatch.from_arrays(columns, ["id", "n", "set_key", "bands"])
+                parities = pa.array([parity(own) if len(own) else None for own in sets], pa.binary())
+                columns = [part.column("id"), pa.array([len(own) for own in sets], pa.int64()), pa.array(digests, pa.binary()), bands, parities]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "n", "set_key", "bands", "parity"])
 
     return run
 
@@ -175,9 +220,9 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
     spark, scratch = df.sparkSession, Scratch(df.sparkSession, "near-dedup")
     docs = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = docs.schema["id"].dataType.simpleString()
-    sketch = scratch.save(docs.mapInArrow(_sketch(width), f"id {kind}, n long, set_key binary, bands array<long>"), "sketch")
+    sketch = scratch.save(docs.mapInArrow(_sketch(width), f"id {kind}, n long, set_key binary, bands array<long>, parity binary"), "sketch")
     nodes = sketch.where("n > 0 AND id IS NOT NULL")
-    classes = scratch.save(nodes.groupBy("set_key").agg(F.min("id").alias("rep"), F.count("*").alias("members"), F.first("n").alias("n"), F.first("bands").alias("bands")), "classes")
+    classes = scratch.save(nodes.groupBy("set_key").agg(F.min("id").alias("rep"), F.count("*").alias("members"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("parity").alias("parity")), "classes")
 
     spread = classes.select("rep", "n", F.explode("bands").alias("bucket"))
     # What is joined by bucket is stored first: both sides of a join are then plain exchanges, and adaptive execution can
@@ -216,26 +261,22 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
     links = confirm(tested)
     components = connected_components(links, scratch)
 
-    # Buckets that hold several components stay open. Components are not renewed between rounds: a round finds few links,
-    # and what it merges is only compared once more than needed.
+    # Buckets that hold several components stay open: any pair across components may be a link, so all are looked at.
     known = components.select(F.col("id").alias("rep"), "component")
     placed = scratch.save(members.select("bucket", "rep", "n").join(known, "rep", "left").withColumn("component", F.coalesce("component", "rep")), "placed")
-    split = scratch.save(placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("bucket"), "split", narrow=True)
-    open_ = scratch.save(placed.join(split, "bucket", "left_semi"), "open")
+    split = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    split = scratch.save(split.where("low <> high").select("bucket", "blocks"), "split", narrow=True)
+    open_ = scratch.save(placed.join(split, "bucket").join(classes.select("rep", "parity"), "rep"), "open")
     scratch.drop(members, placed)
-    turn = 1
-    while True:
-        seeded = F.max(F.struct(F.xxhash64(F.lit(turn), "bucket", "rep").alias("tie"), "rep", "n", "component"))
-        hubs = open_.groupBy("bucket").agg(seeded.alias("hub"))
-        hubs = scratch.save(hubs.select("bucket", F.col("hub.rep").alias("hub"), F.col("hub.n").alias("hub_n"), F.col("hub.component").alias("hub_component")), "hubs", narrow=True)
-        fresh = candidates(open_.join(hubs, "bucket").where("component <> hub_component")).join(tested, ["u", "v"], "left_anti")
-        fresh = scratch.save(fresh, "pairs", narrow=True)
-        found = confirm(fresh)
-        if found.isEmpty():
-            break
-        links, tested, turn = links.unionByName(found), tested.unionByName(fresh), turn + 1
-    if turn > 1:
-        components = connected_components(links, scratch)
+    block, other = F.pmod(F.xxhash64("rep"), F.col("blocks")), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    dealt = open_.select("bucket", "rep", "n", "component", "parity", block.cast("int").alias("block"), other)
+    dealt = dealt.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other")).drop("other")
+    close = dealt.groupBy("bucket", "low", "high").applyInArrow(_pairs(percent), f"u {kind}, v {kind}")
+    ordered = [F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")]
+    fresh = scratch.save(close.select(*ordered).distinct().join(tested.select(*ordered), ["u", "v"], "left_anti"), "pairs", narrow=True)
+    found = confirm(fresh)
+    if not found.isEmpty():
+        components = connected_components(links.unionByName(found), scratch)
     scratch.drop(open_, sets)
 
     known = components.select(F.col("id").alias("rep"), "component")

@@ -282,6 +282,29 @@ def test_near_dedup_against_all_pairs(spark, width):
             assert (r.n_shingles, r.component_id) == want[r.doc_id] and r.kept == (r.doc_id == r.component_id)
 
 
+def test_near_dedup_finds_all_links_of_a_family_just_below_the_threshold(spark):
+    """Texts of 100 out of 120 words (0.71 on average) fill the same buckets; some pairs reach 0.8."""
+    rng = random.Random(21)
+    rows = [(k, " ".join(rng.sample([f"t{i}" for i in range(120)], 100)), "s") for k in range(600)]
+    want = plain_components(rows, 1)
+    assert 20 <= sum(c != i for i, (_, c) in want.items()) <= 300
+    got = {r.doc_id: r.component_id for r in near_dedup.near_dedup(docs(spark, rows), width=1).collect()}
+    assert got == {i: c for i, (_, c) in want.items()}
+
+
+def test_sketches_and_sizes_refuse_no_link():
+    rng = np.random.default_rng(4)
+    sets = [rng.integers(1, 1 << 63, n, dtype=np.uint64) for n in (300, 9, 20_000) for _ in range(3)]
+    sets += [np.r_[own[: int(0.9 * len(own))], rng.integers(1, 1 << 63, len(own) // 10, dtype=np.uint64)] for own in sets]
+    n, component = np.array([len(x) for x in sets]), np.arange(len(sets))
+    sketch = np.array([np.frombuffer(near_dedup.parity(x), np.uint64) for x in sets])
+    links = {(i, j) for j in component for i in range(j) if 100 * len(np.intersect1d(sets[i], sets[j])) >= 80 * len(np.union1d(sets[i], sets[j]))}
+    for block in (np.zeros(len(n), int), np.arange(len(n)) % 2):
+        got = {(min(p), max(p)) for p in zip(*(x.tolist() for x in near_dedup.close_pairs(n, sketch, component, block, 80)), strict=True)}
+        assert len(links) >= 6 and {(i, j) for i, j in links if len(set(block)) == 1 or block[i] != block[j]} <= got
+        assert not near_dedup.close_pairs(n, sketch, component * 0, block, 80)[0].size
+
+
 def test_near_dedup_empty(spark):
     assert near_dedup.near_dedup(docs(spark, AWKWARD).limit(0)).count() == 0
 
