@@ -3,8 +3,9 @@
 A candidate is a long unbroken string that is assigned, passed or quoted right behind a sensitive name. Its novelty is
 the number of bytes by which it makes a zstandard frame longer, per character: the compressor is primed with the
 dictionary of identifiers below, then sees the surrounding text, with and without the candidate. Names built from known
-words, repeats of surrounding text and placeholders cost few bytes; random keys cost about one byte a character. Candidates
-that stay incompressible are reported as kind "novel".
+words, repeats of surrounding text and placeholders cost few bytes; random keys cost about one byte a character. Other
+occurrences of the candidate are blanked out of the text around it: a key that stands twice is no less a key. Candidates
+that stay incompressible are reported as kind "novel", wherever else the text holds them too.
 
 Texts are scanned in Python where they lie: no shuffle, and one pass.
 """
@@ -83,20 +84,39 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return [(s, e, KINDS[k]) for s, e, k in sorted(found, key=lambda x: (x[0], x[2]))]
 
 
+def _places(text: str, own: str) -> Iterator[int]:
+    at = text.find(own)
+    while at >= 0:
+        yield at
+        at = text.find(own, at + len(own))
+
+
 def novel_spans(text: str, base: list[tuple[int, int, str]], least: float = NOVELTY) -> list[tuple[int, int, str]]:
     """Incompressible strings in sensitive contexts that overlap no base span."""
     low = text.lower()
     if not any(k in low for k in SENSITIVE_WORDS):
         return []
-    found = []
+    found, seen = [], set()
     for m in SENSITIVE.finditer(text):
         s, e = m.span(1)
         own = m[1]
-        if any(a < e and s < b for a, b, _ in base) or len(set(own)) < 6 or not (any(c.isdigit() for c in own) or (own.lower() != own and own.upper() != own)):
+        if own in seen or any(a < e and s < b for a, b, _ in base) or len(set(own)) < 6 or not (any(c.isdigit() for c in own) or (own.lower() != own and own.upper() != own)):
             continue
-        if novelty(own, text[max(0, s - CONTEXT) : s], text[e : e + CONTEXT]) >= least:
-            found.append((s, e, "novel"))
-    return found
+        gap = " " * len(own)  # as long, so that the context's bounds stay where they are
+        before = text[max(0, s - CONTEXT - len(own)) : s].replace(own, gap)[-CONTEXT:]
+        after = text[e : e + CONTEXT + len(own)].replace(own, gap)[:CONTEXT]
+        if novelty(own, before, after) >= least:
+            seen.add(own)
+            found += [(s, e, "novel"), *((a, a + len(own), "novel") for a in _places(text, own))]
+    # Of overlapping spans the first stays, and the longest of those that start together.
+    out, at, covers = [], 0, 0
+    for a, b, kind in sorted(set(found), key=lambda x: (x[0], -x[1])):
+        while covers < len(base) and base[covers][1] <= a:
+            covers += 1
+        if a >= at and not any(x < b and a < y for x, y, _ in base[covers:]):
+            out.append((a, b, kind))
+            at = b
+    return out
 
 
 def _scan(least: float):

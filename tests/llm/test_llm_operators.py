@@ -399,6 +399,14 @@ def test_secret_novelty():
     assert secrets.novel_spans(f"the {secret} alone", []) == []
 
 
+def test_repeated_secrets_are_found_everywhere():
+    secret = "k9Qw3xLm7RtZ2vYb8NcD5sFhJ4gPq6Wn1XyT0aZe"
+    for text in (f"private_key = {secret}\nprivate_key = {secret}\n", f"private_key={secret}\necho {secret}\n# private_key={secret}", f"private_key = {secret}\n{'x ' * 140}private_key = {secret}"):
+        spans = secrets.novel_spans(text, [])
+        assert [(s, e) for s, e, _ in spans] == [m.span() for m in re.finditer(secret, text)] and len(spans) >= 2
+    assert secrets.novel_spans("private_key = your_password_here\n" * 2, []) == []
+
+
 def test_secrets_awkward(spark):
     assert secrets.find_secrets(docs(spark, AWKWARD)).count() == len(AWKWARD)
     assert secrets.find_secrets(docs(spark, AWKWARD).limit(0)).count() == 0
