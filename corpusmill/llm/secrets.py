@@ -31,10 +31,13 @@ HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{16,}")  # the runs of [0-9a-f]+ that ar
 LEAST_ASSIGN, LEAST_ACCESS = 12, 18
 KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
-#: Names that make a context sensitive, and what may stand between such a name and a candidate.
+#: Names that make a context sensitive, and what may stand between such a name and a candidate: the rest of its identifier,
+#: any blanks and tabs, a few line ends, a separator. Only an identifier's start begins a match, so no long one is read twice.
+_NAME = r"(?ai:pass(?:word|wd|phrase|code)?|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|signing[_-]?key|encryption[_-]?key|auth(?:orization)?|credentials?|bearer|client[_-]?secret|connection[_-]?string)"
+_GAP = r"[ \t]*+(?:[^\S \t][ \t]*+){0,3}+"
 SENSITIVE = re.compile(
-    r"""(?ai:(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|signing[_-]?key|encryption[_-]?key|auth(?:orization)?|credentials?|bearer|client[_-]?secret|connection[_-]?string))"""
-    r"""[A-Za-z0-9_-]{0,24}["']?(?:\s{0,3}(?:=>|:=|[:=,(])\s{0,3}|\s{1,3}(?=["']))(?:(?:[Bb]earer|[Bb]asic)\s{1,3})?["']?([A-Za-z0-9+/_.=~!@#$%^&*-]{12,})"""
+    rf"""(?<![A-Za-z0-9_-])(?=[A-Za-z0-9_-]*?{_NAME})[A-Za-z0-9_-]++["']?(?:{_GAP}(?:=>|:=|[:=,(]){_GAP}|(?=\s){_GAP}(?=["']))"""
+    rf"""(?:(?:[Bb]earer|[Bb]asic)(?=\s){_GAP})?["']?([A-Za-z0-9+/_.=~!@#$%^&*-]{{12,}})"""
 )
 SENSITIVE_WORDS = ("pass", "pwd", "secret", "token", "key", "auth", "credential", "bearer", "connection")
 #: Text on either side that a candidate is measured against, and novelty (bytes a character) from which it is reported.

@@ -4,6 +4,7 @@ docstrings define: nulls, empty and very long texts, ties, repeated rows, empty
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 from math import sqrt
@@ -407,6 +408,18 @@ def test_repeated_secrets_are_found_everywhere():
     assert secrets.novel_spans("private_key = your_password_here\n" * 2, []) == []
 
 
+def test_secrets_of_aligned_assignments():
+    secret = "k9Qw3xLm7RtZ2vYb8NcD5sFhJ4gPq6Wn1XyT0aZe"
+    names = ["aws_secret_access_key      = ", 'private_key          = "', "pwd\t\t\t\t:\t\t\t\t", "token_of_the_service_account_in_the_other_region = ", "Authorization:      Bearer      ", "old-pwd\n      =\n      ", "pwd          '"]
+    for name in names:
+        text = f"x = 1\n{name}{secret}\n"
+        assert [text[s:e] for s, e, _ in secrets.novel_spans(text, [])] == [secret], name
+    began = time.perf_counter()
+    for text in ("pass" * 100_000, "pass " * 100_000, "pwd" + " " * 400_000, "pwd =" + "\n \t" * 100_000, ("pwd" + " " * 400) * 1000, "token(" * 60_000):
+        secrets.novel_spans(text, [])
+    assert time.perf_counter() - began < 10
+
+
 def test_secrets_awkward(spark):
     assert secrets.find_secrets(docs(spark, AWKWARD)).count() == len(AWKWARD)
     assert secrets.find_secrets(docs(spark, AWKWARD).limit(0)).count() == 0
