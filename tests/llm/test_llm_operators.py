@@ -369,6 +369,20 @@ def test_pii_bootstraps_contexts(spark):
     assert masked.first().text == "see kontonummer [card], or the 1999-12-31 of"
 
 
+def test_pii_bootstraps_numbers_with_blanks(spark):
+    rng = random.Random(10)
+    digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    rows = [(k, f"{prose(4, rng)} rufnummer +1 ({digits(3)}) {digits(3)}-{digits(4)} anrufen {prose(3, rng)}", "s") for k in range(30)]
+    for k in range(30, 60):
+        card = next(c for c in (digits(16) for _ in iter(int, 1)) if luhn(c))
+        rows.append((k, f"{prose(4, rng)} kartennummer: {card[:4]} {card[4:8]} {card[8:12]} {card[12:]}, {prose(3, rng)}", "s"))
+    rows += [(100, "rufnummer (017) 555-7713 und", "s"), (101, "see 017 555 7713 anrufen", "s"), (102, "kartennummer: 4111 1111 1111 1112.", "s"), (103, "+1  (017)   5 5 5  - 7713 anrufen 2024 99", "s"), (104, "1 2 3 4 " * 5000, "s")]
+    got = {r.doc_id: r for r in pii.find_pii(docs(spark, rows)).collect()}
+    found = {k: [(x.kind, dict((i, t) for i, t, _ in rows)[k][x.s : x.e]) for x in got[k].found] for k in got}
+    assert {k: v for k, v in found.items() if v} == {100: [("phone", "(017) 555-7713")], 101: [("phone", "017 555 7713")], 102: [("card", "4111 1111 1111 1112")]}
+    assert all([x.kind for x in got[k].base] == ["phone" if k < 30 else "card"] for k in range(60))
+
+
 def test_pii_awkward(spark):
     assert pii.find_pii(docs(spark, AWKWARD)).count() == len(AWKWARD)
     assert pii.find_pii(docs(spark, AWKWARD).limit(0)).count() == 0
