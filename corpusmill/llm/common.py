@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: White space of the data contracts: U+0020 and U+0009 to U+000D, nothing else.
+SPACES = " \t\n\x0b\x0c\r"
 SPACE_CLASS = r" \t-\r"
 WORD_PATTERN = rf"[^{SPACE_CLASS}]+"
 
@@ -47,8 +48,15 @@ def bound_batches(spark: SparkSession) -> None:
         spark.conf.set(name, str(BATCH_BYTES))
 
 
+#: Files of a scratch table for each core of the cluster, at most: of wide tables, and of narrow ones (a few numbers a row).
+WIDE_FILES, NARROW_FILES = 8, 2
+
+
 class Scratch:
-    """Tables written to the shared folder: they cut lineage, survive lost executors, and can be dropped once read."""
+    """Tables written to the shared folder: they cut lineage, survive lost executors, and can be dropped once read.
+
+    Small files cost more than their bytes (a local Hadoop file system even starts three processes for each), so a table's
+    files follow the cores that write it and not the partitions of what it came from."""
 
     def __init__(self, spark: SparkSession, label: str):
         bound_batches(spark)
@@ -57,12 +65,10 @@ class Scratch:
         self.count = 0
 
     def save(self, df: DataFrame, name: str, narrow: bool = False) -> DataFrame:
-        """The same rows, reread from a Parquet table that nothing recomputes. Narrow tables (a few numbers a row) are
-        written as four files for each core of the cluster at most."""
+        """The same rows, reread from a Parquet table that nothing recomputes."""
         self.count += 1
         path = f"{self.root}/{self.count:04d}-{name}"
-        df = df.coalesce(4 * self.spark.sparkContext.defaultParallelism) if narrow else df
-        df.write.mode("overwrite").parquet(path)
+        df.coalesce((NARROW_FILES if narrow else WIDE_FILES) * self.spark.sparkContext.defaultParallelism).write.mode("overwrite").parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._scratch_path = path
         return out

@@ -18,10 +18,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import SPACE_CLASS, Scratch, blank, power_of_two, read_table
+from corpusmill.llm.common import SPACES, Scratch, blank, power_of_two, read_table
 
 #: Distinct fingerprints that one block of merged filters holds on average; 8 MB of remainders at most.
 BLOCK_ROWS = 500_000
@@ -142,6 +142,14 @@ def repeated_fingerprints(fingerprints: DataFrame, rows: int) -> DataFrame:
     return filters.groupBy("block").applyInArrow(_merged_repeats(block_bits), "fp long, n long")
 
 
+def without_space(text: Column) -> Column:
+    """text without the white space of the contract. Plain replacement works on bytes and makes no Java strings, of which a
+    regular expression makes several for each text."""
+    for space in SPACES:
+        text = F.replace(text, F.lit(space), F.lit(""))
+    return text
+
+
 def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Group documents whose texts are equal once white space [\\x20\\x09-\\x0D] is deleted.
 
@@ -149,22 +157,22 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     per input row: id_col, keep_id, group_size (long), kept (boolean), text_sha256 (hex of the normalised text).
 
     Null texts count as empty, and all empty texts are one group. Repeated rows (same id, same text) are members of
-    their group like any other row; all rows that carry the keeping id and its length say kept. A null id is larger than
-    every other id; it keeps its group only if no other row can. An empty table gives an empty result. Columns other
-    than the two named play no part, so their names cannot clash.
+    their group like any other row; all rows that carry the keeping id and its length say kept. Ids may be of any type
+    that has an order; a null id is larger than every other id and keeps its group only if no other row can. An empty
+    table gives an empty result. Columns other than the two named play no part, so their names cannot clash.
     """
     scratch = Scratch(df.sparkSession, "exact-dedup")
     text = blank(F.col(text_col))
-    docs = df.select(F.col(id_col).alias("id"), F.length(text).cast("long").alias("code_points"), F.regexp_replace(text, f"[{SPACE_CLASS}]+", "").alias("norm"))
+    docs = df.select(F.col(id_col).alias("id"), F.length(text).cast("long").alias("code_points"), without_space(text).alias("norm"))
     docs = docs.withColumn("fp", F.xxhash64("norm"))
     digests = scratch.save(docs.select("id", "code_points", "fp", F.sha2("norm", 256).alias("sha")), "digests")
-    repeats = scratch.save(repeated_fingerprints(digests.select("fp"), digests.count()), "repeats")
+    repeats = scratch.save(repeated_fingerprints(digests.select("fp"), digests.count()), "repeats", narrow=True)
     routed = docs.select("fp", "norm", "code_points", "id").join(repeats.select("fp"), "fp", "left_semi")
-    best = F.max(F.struct("code_points", F.col("id").isNotNull().alias("has_id"), (-F.col("id")).alias("negative_id")))
-    groups = routed.groupBy("fp", "norm").agg(F.count("*").alias("group_size"), best.alias("best"))
-    groups = scratch.save(
-        groups.where("group_size > 1").select("fp", F.sha2("norm", 256).alias("sha"), "group_size", F.col("best.code_points").alias("keep_points"), (-F.col("best.negative_id")).alias("group_keep_id")), "groups"
-    )
+    first = F.min(F.struct((-F.col("code_points")).alias("fewer_points"), F.col("id").isNull().alias("no_id"), "id"))
+    groups = routed.groupBy("fp", "norm").agg(F.count("*").alias("group_size"), first.alias("first"))
+    groups = groups.where("group_size > 1").select("fp", F.sha2("norm", 256).alias("sha"), "group_size", (-F.col("first.fewer_points")).alias("keep_points"), F.col("first.id").alias("group_keep_id"))
+    groups = scratch.save(groups, "groups", narrow=True)
+    scratch.drop(repeats)
     joined = digests.join(groups, ["fp", "sha"], "left")
     grouped = F.col("group_size").isNotNull()
     keep = F.when(grouped, F.col("group_keep_id")).otherwise(F.col("id"))

@@ -6,13 +6,17 @@
 2. Documents with equal shingle sets form a class; only its representative (smallest id) goes on. A text copied into a
    third of all rows is one representative, found by an aggregate that starts before the shuffle.
 3. Signatures are cut into BANDS bands; each band is a bucket key. In every bucket each member is compared with one hub
-   first, the member that collides most in all. Then every pair of a bucket whose ends are still in different components
-   is looked at, in blocks of BLOCK members against each other, so that no task holds a hot bucket. A parity sketch
-   bounds the symmetric difference of two sets from below, so it refuses pairs but never a link.
-4. Links are confirmed on full shingle sets: 100 * intersection >= threshold * union. Sets are rebuilt from text only for
-   documents that share a bucket; a Bloom filter of those ids, of checked size, keeps all other texts out of the
-   second pass (beyond that size a shuffled semi-join does the same).
-5. Components come from alternating large-star and small-star steps.
+   first, the member that collides most in all: one pair a member.
+4. A bucket whose members are still in several components stays open. Its largest component is left whole, and each member
+   outside of it meets all other members, in blocks, so that no task holds a hot bucket. Pairs are members outside times
+   members: a group of copies or near copies that its hub has joined costs nothing, whatever its size, and a link between
+   two texts that share a bucket is never lost. A family of texts just below the threshold, which no link joins, costs the
+   square of its size in comparisons (not in rows: only pairs that may be links leave a task).
+5. A parity sketch of each set, four to eight bits a shingle, bounds the symmetric difference of two sets from below. It
+   refuses pairs but never a link; what it lets through is confirmed on full shingle sets: 100 * intersection >=
+   threshold * union. Sets are rebuilt from text only for documents that share a bucket; a Bloom filter of those ids, of
+   checked size, keeps all other texts out of the second pass (beyond that size a shuffled semi-join does the same).
+6. Components come from alternating large-star and small-star steps.
 """
 
 from __future__ import annotations
@@ -33,9 +37,11 @@ BINS = 128
 BANDS = 32
 #: Attempts of densification before the next non-empty bin is taken (never needed in practice).
 ATTEMPTS = 4096
-#: 64-bit words of a parity sketch, and members of an open bucket that one task compares with as many others (on average).
-PARITY_WORDS = 64
+#: Bits of a parity sketch for each shingle, at least, and 64-bit words of the shortest and the longest sketch.
+PARITY_BITS, PARITY_LEAST, PARITY_MOST = 4, 4, 1 << 14
+#: Members of an open bucket that one task compares with as many others (on average), and pairs that it looks at together.
 BLOCK = 1024
+PAIRS = 1 << 16
 #: Bits of the Bloom filter that is shared with all executors, at most (8 MB).
 BLOOM_BITS = 1 << 26
 _PICKS = (mix64(np.arange(ATTEMPTS * BINS, dtype=np.uint64) + np.uint64(0x5DEECE66D)) % np.uint64(BINS)).astype(np.int64).reshape(ATTEMPTS, BINS)
@@ -98,42 +104,114 @@ def band_keys(signature: np.ndarray) -> np.ndarray:
 
 
 def parity(own: np.ndarray) -> bytes:
-    """The parity of how many elements fall on each bit. Two sketches differ in no more bits than their sets in elements."""
-    bits = np.bincount((own >> np.uint64(7)).astype(np.int64) % (64 * PARITY_WORDS), minlength=64 * PARITY_WORDS) & 1
+    """The parity of how many elements fall on each bit. Two sketches differ in no more bits than their sets in elements.
+    The length, a power of two, follows the size of the set; folding a longer sketch by halves gives the shorter one."""
+    words_ = min(max(power_of_two(PARITY_BITS * len(own) / 64), PARITY_LEAST), PARITY_MOST)
+    bits = np.bincount((own >> np.uint64(7)).astype(np.int64) % (64 * words_), minlength=64 * words_) & 1
     return np.packbits(bits.astype(np.uint8)).tobytes()
 
 
-def close_pairs(n: np.ndarray, sketch: np.ndarray, component: np.ndarray, block: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of rows of different components, and of different blocks if there are two, that sizes and sketches allow a link."""
-    low, high = (np.flatnonzero(block == b) for b in (block.min(), block.max()))
-    alone, out = block.min() == block.max(), [np.zeros((2, 0), np.int64)]
-    step = max(1, (1 << 16) // max(1, len(high)))
-    for first in range(0, len(low), step):
-        rows = low[first : first + step]
-        a, b = n[rows][:, None], n[high][None, :]
-        fits = (component[rows][:, None] != component[high][None, :]) & (np.minimum(a, b) * 100 >= np.maximum(a, b) * percent)
-        if alone:
-            fits &= rows[:, None] < high[None, :]
-        x, y = np.nonzero(fits)
-        x, y = rows[x], high[y]
-        differ, most = np.zeros(len(x), np.int64), (n[x] + n[y]) * (100 - percent)
-        for k in range(0, PARITY_WORDS, 8):
-            differ = differ + np.bitwise_count(sketch[x, k : k + 8] ^ sketch[y, k : k + 8]).sum(axis=1, dtype=np.int64)
-            good = differ * (100 + percent) <= most
-            x, y, differ, most = x[good], y[good], differ[good], most[good]
-        out.append(np.stack([x, y]))
+class Sketches:
+    """Sizes and parity sketches of rows, compared by pairs of row numbers."""
+
+    def __init__(self, n: np.ndarray, sketches: list[bytes]):
+        self.n, self.words = n, np.array([len(x) // 8 for x in sketches], np.int64)
+        self.tables, self.place = {}, np.zeros(len(sketches), np.int64)
+        for size in np.unique(self.words).tolist():
+            own = np.flatnonzero(self.words == size)
+            self.place[own] = np.arange(len(own))
+            self.tables[size] = np.frombuffer(b"".join(sketches[k] for k in own), np.uint64).reshape(-1, size)
+
+    def _rows(self, which: np.ndarray, size: int, want: int) -> np.ndarray:
+        rows = self.tables[size][self.place[which]]
+        while rows.shape[1] > want:
+            half = rows.shape[1] // 2
+            rows = rows[:, :half] ^ rows[:, half:]
+        return rows
+
+    def close(self, x: np.ndarray, y: np.ndarray, percent: int) -> np.ndarray:
+        """Which pairs (x[k], y[k]) sizes and sketches allow a link."""
+        a, b = self.n[x], self.n[y]
+        good = np.minimum(a, b) * 100 >= np.maximum(a, b) * percent
+        at = np.flatnonzero(good)
+        code = self.words[x[at]] * (2 * PARITY_MOST) + self.words[y[at]]
+        for key in np.unique(code).tolist():
+            size_x, size_y = divmod(key, 2 * PARITY_MOST)
+            own, least = at[code == key], min(size_x, size_y)
+            for k in range(0, len(own), step := max(1, (1 << 18) // least)):
+                part = own[k : k + step]
+                both = self._rows(x[part], size_x, least) ^ self._rows(y[part], size_y, least)
+                differ = np.bitwise_count(both).sum(axis=1, dtype=np.int64)
+                good[part] = differ * (100 + percent) <= (self.n[x[part]] + self.n[y[part]]) * (100 - percent)
+        return good
+
+
+def open_pairs(group: np.ndarray, left: np.ndarray, major: np.ndarray, tie: np.ndarray, component: np.ndarray, sketches: Sketches, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows in runs of equal group, in each run those with left first: pairs of a left and a right row of a run that are of
+    different components and that sizes and sketches allow a link. Two rows outside of the major component meet twice, each
+    as left row of the other; the pair counts where the left one has the smaller tie."""
+    first = np.flatnonzero(np.r_[True, group[1:] != group[:-1]][: len(group)])
+    sizes = np.diff(np.r_[first, len(group)])
+    rows, out = np.flatnonzero(left), [np.zeros((2, 0), np.int64)]
+    if not len(rows):
+        return out[0][0], out[0][1]
+    lefts = np.add.reduceat(left.astype(np.int64), first)
+    right_from, counts = np.repeat(first + lefts, sizes)[rows], np.repeat(sizes - lefts, sizes)[rows]
+    through, low = np.cumsum(counts), 0
+    while low < len(rows):
+        high = max(low + 1, int(np.searchsorted(through, (through[low - 1] if low else 0) + PAIRS, "right")))
+        own, many = rows[low:high], counts[low:high]
+        x = np.repeat(own, many)
+        y = np.arange(len(x)) - np.repeat(np.cumsum(many) - many, many) + np.repeat(right_from[low:high], many)
+        fits = (component[x] != component[y]) & (major[y] | (tie[x] <= tie[y]))
+        x, y = x[fits], y[fits]
+        good = sketches.close(x, y, percent)
+        out.append(np.stack([x[good], y[good]]))
+        low = high
     x, y = np.concatenate(out, axis=1)
     return x, y
 
 
-def _pairs(percent: int):
-    def run(table: pa.Table) -> pa.Table:
-        rows = table.combine_chunks()
-        sketch = np.frombuffer(b"".join(rows.column("parity").to_pylist()), np.uint64).reshape(-1, PARITY_WORDS)
+def _open_pairs(percent: int):
+    """Sorted rows (group_key, is_left, is_major, tie, rep, n, component, parity) -> (u, v) of pairs that may be links.
+
+    A task's rows come in runs, one for each block of a bucket; a run that a batch cuts off waits for the rest of it."""
+
+    def found(rows: pa.Table) -> pa.RecordBatch:
+        rows = rows.combine_chunks()
+        key, left, major, tie, n = (rows.column(c).to_numpy() for c in ("group_key", "is_left", "is_major", "tie", "n"))
         component = rows.column("component").combine_chunks().dictionary_encode().indices.to_numpy()
-        x, y = close_pairs(rows.column("n").to_numpy(), sketch, component, rows.column("block").to_numpy(), percent)
-        ids = rows.column("rep")
-        return pa.table({"u": ids.take(pa.array(x)), "v": ids.take(pa.array(y))})
+        x, y = open_pairs(key, left, major, tie, component, Sketches(n, rows.column("parity").to_pylist()), percent)
+        ids = rows.column("rep").combine_chunks()
+        return pa.RecordBatch.from_arrays([ids.take(pa.array(x)), ids.take(pa.array(y))], ["u", "v"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = []
+        for batch in batches:
+            if batch.num_rows:
+                key = batch.column("group_key").to_numpy()
+                cut = int(np.flatnonzero(np.r_[True, key[1:] != key[:-1]])[-1])  # where the last run begins
+                if held and (cut or key[0] != held[-1].column("group_key")[-1].as_py()):
+                    yield found(pa.Table.from_batches([*held, batch.slice(0, cut)]))
+                    held = []
+                elif cut:
+                    yield found(pa.Table.from_batches([batch.slice(0, cut)]))
+                held.append(batch.slice(cut))
+        if held:
+            yield found(pa.Table.from_batches(held))
+
+    return run
+
+
+def _near(percent: int):
+    """(u, v, n_u, n_v, parity_u, parity_v) -> (u, v) of the pairs that sizes and sketches allow a link."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = np.r_[batch.column("n_u").to_numpy(zero_copy_only=False), batch.column("n_v").to_numpy(zero_copy_only=False)]
+            sketches = Sketches(n, batch.column("parity_u").to_pylist() + batch.column("parity_v").to_pylist())
+            at = np.arange(batch.num_rows)
+            yield batch.select(["u", "v"]).filter(pa.array(sketches.close(at, at + batch.num_rows, percent), pa.bool_()))
 
     return run
 
@@ -243,41 +321,55 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
         texts = texts.join(node_ids.withColumnRenamed("h", "id_hash"), "id_hash", "left_semi")
     sets = scratch.save(texts.mapInArrow(_sets_of(width, field, bits), f"id {kind}, own binary"), "sets")
 
+    parities = classes.select("rep", "n", "parity")
+
+    def near(pairs: DataFrame) -> DataFrame:
+        """Pairs (u, v) that their sizes and sketches allow a link."""
+        own = parities.select(F.col("rep").alias("u"), F.col("n").alias("n_u"), F.col("parity").alias("parity_u"))
+        other = parities.select(F.col("rep").alias("v"), F.col("n").alias("n_v"), F.col("parity").alias("parity_v"))
+        joined = pairs.join(own, "u").join(other, "v").select("u", "v", "n_u", "n_v", "parity_u", "parity_v")
+        return scratch.save(joined.mapInArrow(_near(percent), f"u {kind}, v {kind}"), "near", narrow=True)
+
     def confirm(pairs: DataFrame) -> DataFrame:
+        """Pairs (u, v) whose full sets are similar enough."""
         own = sets.select(F.col("id").alias("u"), F.col("own").alias("own_a"))
-        hub_own = sets.select(F.col("id").alias("v"), F.col("own").alias("own_b"))
-        joined = pairs.join(own, "u").join(hub_own, "v").select("u", "v", "own_a", "own_b")
+        other = sets.select(F.col("id").alias("v"), F.col("own").alias("own_b"))
+        joined = pairs.join(own, "u").join(other, "v").select("u", "v", "own_a", "own_b")
         return scratch.save(joined.mapInArrow(_confirmed(percent), f"u {kind}, v {kind}"), "links", narrow=True)
 
-    def candidates(rows: DataFrame) -> DataFrame:
-        """Distinct (member, hub) pairs whose set sizes allow a link."""
-        fits = F.least("n", "hub_n") * 100 >= F.greatest("n", "hub_n") * percent
-        return rows.where(fits).select(F.col("rep").alias("u"), F.col("hub").alias("v")).distinct()
-
     busiest = F.max(F.struct("weight", F.xxhash64("rep").alias("tie"), "rep", "n"))
     hubs = members.join(weight, "rep").groupBy("bucket").agg(busiest.alias("hub"))
     hubs = scratch.save(hubs.select("bucket", F.col("hub.rep").alias("hub"), F.col("hub.n").alias("hub_n")), "hubs", narrow=True)
-    tested = scratch.save(candidates(members.join(hubs, "bucket").where("rep <> hub")), "pairs", narrow=True)
-    links = confirm(tested)
+    fits = F.least("n", "hub_n") * 100 >= F.greatest("n", "hub_n") * percent
+    starred = members.join(hubs, "bucket").where((F.col("rep") != F.col("hub")) & fits)
+    pairs = scratch.save(starred.select(F.col("rep").alias("u"), F.col("hub").alias("v")).distinct(), "pairs", narrow=True)
+    close = near(pairs)
+    links = confirm(close)
     components = connected_components(links, scratch)
+    scratch.drop(weight, shared, hubs, pairs, close, links)
 
-    # Buckets that hold several components stay open: any pair across components may be a link, so all are looked at.
+    # Buckets that hold several components stay open. Each member outside of the largest one meets all other members.
     known = components.select(F.col("id").alias("rep"), "component")
-    placed = scratch.save(members.select("bucket", "rep", "n").join(known, "rep", "left").withColumn("component", F.coalesce("component", "rep")), "placed")
-    split = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    split = scratch.save(split.where("low <> high").select("bucket", "blocks"), "split", narrow=True)
-    open_ = scratch.save(placed.join(split, "bucket").join(classes.select("rep", "parity"), "rep"), "open")
-    scratch.drop(members, placed)
-    block, other = F.pmod(F.xxhash64("rep"), F.col("blocks")), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    dealt = open_.select("bucket", "rep", "n", "component", "parity", block.cast("int").alias("block"), other)
-    dealt = dealt.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other")).drop("other")
-    close = dealt.groupBy("bucket", "low", "high").applyInArrow(_pairs(percent), f"u {kind}, v {kind}")
-    ordered = [F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")]
-    fresh = scratch.save(close.select(*ordered).distinct().join(tested.select(*ordered), ["u", "v"], "left_anti"), "pairs", narrow=True)
-    found = confirm(fresh)
+    placed = scratch.save(members.select("bucket", "rep").join(known, "rep", "left").withColumn("component", F.coalesce("component", "rep")), "placed")
+    held = placed.groupBy("bucket", "component").agg(F.count("*").alias("c"))
+    split = held.groupBy("bucket").agg(F.max(F.struct("c", "component")).alias("most"), F.sum("c").alias("size"), F.count("*").alias("components")).where("components > 1")
+    blocks = lambda n: F.ceil(n / BLOCK).cast("int")
+    split = split.select("bucket", F.col("most.component").alias("major"), blocks(F.col("size") - F.col("most.c")).alias("lefts"), blocks(F.col("size")).alias("rights"))
+    split = scratch.save(split, "split", narrow=True)
+    open_ = scratch.save(placed.join(split, "bucket").join(parities, "rep"), "open")
+    scratch.drop(members, placed, split)
+    tie, is_major = F.xxhash64("rep"), F.col("component") == F.col("major")
+    place = lambda left, i, j: F.struct(F.lit(left).alias("is_left"), i.alias("i"), j.alias("j"))
+    as_left = F.transform(F.sequence(F.lit(0), F.col("rights") - 1), lambda j: place(True, F.pmod(tie, F.col("lefts")).cast("int"), j))
+    as_right = F.transform(F.sequence(F.lit(0), F.col("lefts") - 1), lambda i: place(False, i, F.pmod(tie, F.col("rights")).cast("int")))
+    dealt = open_.withColumn("x", F.explode(F.when(is_major, as_right).otherwise(F.concat(as_left, as_right))))
+    dealt = dealt.select(F.xxhash64("bucket", "x.i", "x.j").alias("group_key"), "x.is_left", is_major.alias("is_major"), tie.alias("tie"), "rep", F.col("n").cast("long").alias("n"), "component", "parity")
+    runs = dealt.repartition("group_key").sortWithinPartitions("group_key", F.desc("is_left"))
+    fresh = runs.mapInArrow(_open_pairs(percent), f"u {kind}, v {kind}").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+    found = confirm(scratch.save(fresh.distinct(), "open-pairs", narrow=True))
     if not found.isEmpty():
-        components = connected_components(links.unionByName(found), scratch)
-    scratch.drop(open_, sets)
+        components = connected_components(components.select(F.col("id").alias("u"), F.col("component").alias("v")).unionByName(found), scratch)
+    scratch.drop(open_, sets, found)
 
     known = components.select(F.col("id").alias("rep"), "component")
     joined = classes.select("set_key", "rep", "members").join(known, "rep", "left")

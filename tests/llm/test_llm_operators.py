@@ -246,19 +246,26 @@ def shingles(text, width):
 
 
 def plain_components(rows, width, percent=80):
+    """All pairs: id -> (set size, smallest id reachable). Counts of common shingles come from one matrix product."""
     sets = [(i, shingles(t, width)) for i, t, _ in rows if i is not None]
-    parent = {i: i for i, _ in sets}
+    often = Counter(x for _, own in sets for x in own)
+    place = {x: k for k, x in enumerate(x for x, n in often.items() if n > 1)}
+    there = np.zeros((len(sets), len(place) + 1), np.float32)
+    for k, (_, own) in enumerate(sets):
+        there[k, [place[x] for x in own if x in place]] = 1
+    common, size = there @ there.T, np.array([len(x) for _, x in sets])
+    linked = (size[:, None] > 0) & (size[None, :] > 0) & (100 * common >= percent * (size[:, None] + size[None, :] - common))
+    ids = [i for i, _ in sets]
+    parent = {i: i for i in ids}
 
     def root(x):
         while parent[x] != x:
             x = parent[x]
         return x
 
-    for a, (i, x) in enumerate(sets):
-        for j, y in sets[:a]:
-            if x and y and 100 * len(x & y) >= percent * len(x | y):
-                i2, j2 = root(i), root(j)
-                parent[max(i2, j2)] = min(i2, j2)
+    for a, b in zip(*(k.tolist() for k in np.nonzero(np.tril(linked, -1))), strict=True):
+        i2, j2 = root(ids[a]), root(ids[b])
+        parent[max(i2, j2)] = min(i2, j2)
     return {i: (len(x), root(i)) for i, x in sets}
 
 
@@ -295,15 +302,67 @@ def test_near_dedup_finds_all_links_of_a_family_just_below_the_threshold(spark):
 
 def test_sketches_and_sizes_refuse_no_link():
     rng = np.random.default_rng(4)
-    sets = [rng.integers(1, 1 << 63, n, dtype=np.uint64) for n in (300, 9, 20_000) for _ in range(3)]
+    sets = [rng.integers(1, 1 << 63, n, dtype=np.uint64) for n in (300, 9, 20_000, 260) for _ in range(3)]
     sets += [np.r_[own[: int(0.9 * len(own))], rng.integers(1, 1 << 63, len(own) // 10, dtype=np.uint64)] for own in sets]
-    n, component = np.array([len(x) for x in sets]), np.arange(len(sets))
-    sketch = np.array([np.frombuffer(near_dedup.parity(x), np.uint64) for x in sets])
+    n, component, count = np.array([len(x) for x in sets]), np.arange(len(sets)), len(sets)
+    sketches = near_dedup.Sketches(n, [near_dedup.parity(x) for x in sets])
+    assert len(sketches.tables) > 2 and (sketches.words * 64 >= 4 * n).all()
     links = {(i, j) for j in component for i in range(j) if 100 * len(np.intersect1d(sets[i], sets[j])) >= 80 * len(np.union1d(sets[i], sets[j]))}
-    for block in (np.zeros(len(n), int), np.arange(len(n)) % 2):
-        got = {(min(p), max(p)) for p in zip(*(x.tolist() for x in near_dedup.close_pairs(n, sketch, component, block, 80)), strict=True)}
-        assert len(links) >= 6 and {(i, j) for i, j in links if len(set(block)) == 1 or block[i] != block[j]} <= got
-        assert not near_dedup.close_pairs(n, sketch, component * 0, block, 80)[0].size
+    x, y = (k.reshape(-1) for k in np.meshgrid(component, component))
+    good = sketches.close(x, y, 80)
+    assert len(links) >= 8 and links <= set(zip(x[good].tolist(), y[good].tolist(), strict=True)) and good.sum() < len(x) // 3
+
+    # Runs of blocks: left rows first. Pairs of a left and a right row, of two components; two rows outside of the major one once.
+    def pairs(runs, major=None, alike=None):
+        rows = [(g, left, k) for g, (lefts, rights) in enumerate(runs) for left, own in ((True, lefts), (False, rights)) for k in own]
+        g, left, k = (np.array(c) for c in zip(*rows, strict=True))
+        kinds = component if alike is None else alike
+        some = near_dedup.Sketches(n[k], [near_dedup.parity(sets[q]) for q in k])
+        a, b = near_dedup.open_pairs(g, left, np.isin(k, major or []), k, kinds[k], some, 80)
+        return Counter((min(p), max(p)) for p in zip(k[a].tolist(), k[b].tolist(), strict=True))
+
+    everyone, half = list(range(count)), count // 2
+    assert set(pairs([(everyone, everyone)])) >= links and max(pairs([(everyone, everyone)]).values()) == 1
+    cut = [(everyone[:half], everyone[:half]), (everyone[:half], everyone[half:]), (everyone[half:], everyone[:half]), (everyone[half:], everyone[half:])]
+    assert pairs(cut) == pairs([(everyone, everyone)])
+    assert not pairs([(everyone, everyone)], alike=component * 0) and not pairs([([], everyone), ([], [0])])
+    assert set(pairs([(everyone[:half], everyone)], major=everyone[half:], alike=np.where(component >= half, 99, component))) >= links
+
+
+def test_near_dedup_joins_late_members_of_a_large_group(spark):
+    """A hub joins its near copies; the few members outside of that group meet all of it."""
+    rng = random.Random(5)
+    base = [f"t{i}" for i in range(200)]
+
+    def changed(words, n):
+        words = list(words)
+        for at in rng.sample(range(len(words)), n):
+            words[at] = f"new{rng.random()}"
+        return words
+
+    texts = [changed(base, rng.choice([1, 2, 3])) for _ in range(1500)]
+    far = [changed(base, 30) for _ in range(8)]
+    texts += far + [changed(w, 12) for w in far] + [changed(texts[k], 28) for k in range(40)]
+    rows = [(k, " ".join(w), "s") for k, w in enumerate(texts)]
+    want = plain_components(rows, 1)
+    got = {r.doc_id: r.component_id for r in near_dedup.near_dedup(docs(spark, rows), width=1).collect()}
+    assert got == {i: c for i, (_, c) in want.items()} and len(set(got.values())) > 1
+
+
+@pytest.mark.parametrize("size,seed", [(500, 1), (500, 2), (500, 3), (1000, 1), (2000, 1)])
+def test_near_dedup_loses_no_link_in_related_families(spark, size, seed):
+    """Texts of one base with 2 to 8 of 200 words changed: links and near misses side by side."""
+    rng = random.Random(seed)
+    vocabulary = [f"w{i}" for i in range(5000)]
+    base, rows = [rng.choice(vocabulary) for _ in range(200)], []
+    for k in range(size):
+        words = list(base)
+        for _ in range(rng.randint(2, 8)):
+            words[rng.randrange(200)] = rng.choice(vocabulary)
+        rows.append((k, " ".join(words), "s"))
+    want = plain_components(rows, 5)
+    got = {r.doc_id: r.component_id for r in near_dedup.near_dedup(docs(spark, rows)).collect()}
+    assert got == {i: c for i, (_, c) in want.items()} and 1 < len(set(got.values())) < size
 
 
 def test_near_dedup_empty(spark):
@@ -462,6 +521,14 @@ def test_exact_dedup_against_plain_python(spark):
     assert exact_dedup.exact_dedup(docs(spark, rows).limit(0)).count() == 0
 
 
+def test_exact_dedup_takes_any_ids(spark):
+    least, most = -(1 << 63), (1 << 63) - 1
+    got = exact_dedup.exact_dedup(spark.createDataFrame([(least, "a b"), (most, "ab"), (0, "a b"), (5, "c")], "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.keep_id, r.kept) for r in got} == {(least, least, True), (most, least, False), (0, least, False), (5, 5, True)}
+    named = exact_dedup.exact_dedup(spark.createDataFrame([("b", "x y"), ("a", "xy"), ("c", "x y"), (None, "x  y"), (None, None)], "doc_id string, text string")).collect()
+    assert {(r.doc_id, r.keep_id, r.group_size, r.kept) for r in named} == {("a", None, 4, False), ("b", None, 4, False), ("c", None, 4, False), (None, None, 4, True), (None, None, 1, True)}
+
+
 def test_quotient_filters_merge_without_loss():
     rng = np.random.default_rng(3)
     for bits in (64, 57, 20):
