@@ -11,7 +11,8 @@ Inner products are turned into distances by one added coordinate, sqrt(M^2 - |x|
 queries), so that pivots near a query are those with the largest inner product.
 
 Blocks of queries meet blocks of vectors through an equi-join on block numbers; pair counts are blocks, not rows. Each
-pair is one small matrix problem, and the result of a pair is at most `k` rows a query.
+pair is one small matrix problem, and the result of a pair is at most `k` rows a query. A query's rows are cut to the best
+`k` in each task before they are shuffled, and again behind the shuffle.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusmill.llm.common import Scratch, read_table
@@ -32,7 +33,7 @@ PREFIX = 64
 BLOCK = 8192
 QUERIES = 512
 #: Share of a block, and vectors at least, that footrule ranking hands to exact comparison.
-RERANK, RERANK_LEAST = 0.12, 256
+RERANK, RERANK_LEAST = 0.12, 640
 SEED = 31
 
 
@@ -58,14 +59,14 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1)
 
 
-def _block_rows(pivots: np.ndarray, largest: float, is_query: bool):
+def _block_rows(pivots: np.ndarray, scale: float, largest: float, is_query: bool):
     """A group of vectors -> one packed row: ids, original vectors, and prefixes (queries) or inverted files (index)."""
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by("vec_id")
         ids = table.column("vec_id").to_numpy().astype("<i8")
         vectors = _matrix(table.column("x").combine_chunks())
-        near = prefixes(vectors, pivots, largest, is_query)
+        near = prefixes(vectors / scale, pivots, largest, is_query)
         if is_query:
             files, first = near.astype("<i4"), np.zeros(0, "<i4")
         else:
@@ -117,7 +118,9 @@ def nearest(df: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec_i
     queries: rows with the same two columns. A row never answers a query with its own id. Ties go to the smaller id.
     Vectors that are null, zero, or hold null or non-finite components take no part, nor do vectors whose length is not
     the most frequent one, nor null ids. Rows that repeat an id answer as often as they occur. Fewer than k candidates
-    are all returned; empty tables give no rows. Other columns play no part.
+    are all returned; empty tables give no rows. Other columns play no part. Pivots are found on scaled vectors, so that
+    finite components of any size are fine; an inner product beyond the range of doubles is an infinite score (or, where
+    infinities of both signs meet, none: such rows come last), and equal infinite scores tie.
     """
     spark, scratch = df.sparkSession, Scratch(df.sparkSession, "ann")
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
@@ -127,27 +130,31 @@ def nearest(df: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec_i
         return rows.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("x"))
 
     rows = usable(df)
-    shape = rows.groupBy(F.size("x").alias("size")).agg(F.count("*").alias("n"), F.max(F.aggregate("x", F.lit(0.0), lambda a, v: a + v * v)).alias("square")).orderBy(F.desc("n"), "size").first()
+    biggest = F.max(F.array_max(F.transform("x", F.abs)))
+    shape = rows.groupBy(F.size("x").alias("size")).agg(F.count("*").alias("n"), biggest.alias("scale")).orderBy(F.desc("n"), "size").first()
     if shape is None:
         return empty
-    size, n, largest = shape["size"], shape["n"], float(np.sqrt(shape["square"]))
+    size, n, scale = shape["size"], shape["n"], shape["scale"]
     rows = rows.where(F.size("x") == size)
+    square = rows.agg(F.max(F.aggregate("x", F.lit(0.0), lambda a, v: a + (v / scale) * (v / scale))).alias("square")).first()["square"]
+    largest = float(np.sqrt(square))
     pivots = np.array([r["x"] for r in rows.orderBy(F.xxhash64(F.lit(SEED), "vec_id"), "vec_id").limit(PIVOTS).collect()])  # a bounded sample
-    pivots = np.unique(pivots, axis=0)
+    pivots = np.unique(pivots / scale, axis=0)
     packed = "block long, ids binary, vectors binary, files binary, first binary"
     blocks = max(1, -(-n // BLOCK))
     block_of = F.pmod(F.xxhash64(F.lit(SEED + 1), "vec_id"), F.lit(blocks))
-    index = scratch.save(rows.withColumn("block", block_of).groupBy("block").applyInArrow(_block_rows(pivots, largest, False), packed), "index")
+    index = scratch.save(rows.withColumn("block", block_of).groupBy("block").applyInArrow(_block_rows(pivots, scale, largest, False), packed), "index")
     asked = usable(queries).where(F.size("x") == size)
     groups = max(1, -(-asked.count() // QUERIES))
     group_of = F.pmod(F.xxhash64(F.lit(SEED + 2), "vec_id"), F.lit(groups))
-    asked = asked.withColumn("block", group_of).groupBy("block").applyInArrow(_block_rows(pivots, largest, True), packed)
+    asked = asked.withColumn("block", group_of).groupBy("block").applyInArrow(_block_rows(pivots, scale, largest, True), packed)
     asked = asked.select(F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"), F.col("files").alias("q_near"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"))
     pairs = asked.repartition(max(groups * blocks, 1), "block", F.xxhash64("q_ids")).join(index, "block")
     found = pairs.select("q_ids", "q_vectors", "q_near", "ids", "vectors", "files", "first").mapInArrow(_search(k, min(PREFIX, len(pivots)), rerank), "query_id long, ids array<long>, scores array<double>")
-    best = found.groupBy("query_id").agg(F.flatten(F.collect_list(F.arrays_zip(F.transform("scores", lambda s: -s).alias("less"), F.col("ids").alias("id")))).alias("all"))
-    best = best.select("query_id", F.posexplode(F.slice(F.array_sort("all"), 1, k)).alias("place", "one"))
-    return best.select("query_id", (F.col("place") + 1).cast("int").alias("rank"), F.col("one.id").alias("vec_id"), (-F.col("one.less")).alias("score"))
+    each = found.select("query_id", F.explode(F.arrays_zip(F.col("ids").alias("id"), F.col("scores").alias("score"))).alias("one"))
+    each = each.select("query_id", F.col("one.id").alias("vec_id"), F.col("one.score").alias("score"))
+    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc(F.when(F.isnan("score"), None).otherwise(F.col("score"))), "vec_id"))
+    return each.withColumn("rank", place).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def op2_ann(spark: SparkSession, sf_dir: str) -> DataFrame:

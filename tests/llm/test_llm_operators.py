@@ -2,6 +2,7 @@
 docstrings define: nulls, empty and very long texts, ties, repeated rows, empty tables, clashing column names."""
 
 import hashlib
+import os
 import random
 import re
 import time
@@ -128,6 +129,39 @@ def test_ann_small_and_empty(spark):
     assert ann.nearest(frame.limit(0), frame).count() == 0
 
 
+@pytest.mark.parametrize("name", ["sf0.001", "sf0.01", "sf0.1", "check_s", "check_l"])
+def test_ann_query_recall(spark, name):
+    """op2 on whole supplied tables against brute force, on a hundred of its queries."""
+    import pyarrow.parquet as pq
+
+    if not os.path.exists(f"/root/testdata/{name}/embeddings.parquet"):
+        pytest.skip("no such table here")
+    table = pq.read_table(f"/root/testdata/{name}/embeddings.parquet")
+    rows = [(i, x) for i, x in zip(table.column("vec_id").to_pylist(), table.column("embedding").to_pylist(), strict=True) if x is not None and None not in x and np.isfinite(np.array(x, float)).all() and any(x)]
+    ids, vectors = np.array([r[0] for r in rows]), np.array([r[1] for r in rows], float)
+    got = defaultdict(list)
+    for r in ann.op2_ann(spark, f"/root/testdata/{name}").orderBy("query_id", "rank").collect():
+        assert r.rank == len(got[r.query_id]) + 1
+        got[r.query_id].append((r.vec_id, r.score))
+    asked = [i for i in ids.tolist() if i % 20 == 0]
+    assert set(got) == set(asked) and all(len(x) == 20 for x in got.values())
+    hits, some = 0, asked[:: max(1, len(asked) // 100)]
+    for q in some:
+        score = (vectors * vectors[ids == q][0]).sum(axis=1)
+        score[ids == q] = -np.inf
+        best = np.lexsort((ids, -score))[:20]
+        hits += len({v for v, _ in got[q]} & set(ids[best].tolist()))
+        assert all(x == pytest.approx(score[ids == v][0], abs=1e-12) for v, x in got[q])
+    assert hits >= 0.95 * 20 * len(some)
+
+
+def test_ann_takes_components_of_any_size(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, (x * 1e200).tolist()) for i, x in enumerate(rng.normal(size=(60, 4)))] + [(100 + i, x.tolist()) for i, x in enumerate(rng.normal(size=(60, 4)))]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert ann.nearest(frame, frame.where("vec_id % 20 = 0"), k=5).count() == 5 * 6
+
+
 # ------------------------------------------------------------------ 3 packing
 
 
