@@ -476,6 +476,19 @@ def test_pii_bootstraps_numbers_with_blanks(spark):
     assert all([x.kind for x in got[k].base] == ["phone" if k < 30 else "card"] for k in range(60))
 
 
+def test_pii_of_very_many_identifiers_is_close_to_linear(spark):
+    rng, took = random.Random(13), {}
+    parts = lambda n: [rng.choice(["10.0.{0}.7", "u{0}@ex.org", "n{0}x{0}", "wort {0}", "+49 (30) 55{0}"]).format(k % 250 + 1000 * (k % 3)) for k in range(n)]
+    for n in (500, 8000, 16000):  # the first one compiles
+        row = " ".join(parts(n))
+        frame = docs(spark, [(1, row, "s")])
+        began = time.perf_counter()
+        found = pii.find_pii(frame).first()
+        took[n] = time.perf_counter() - began
+        assert [tuple(x) for x in found.base] == plain_pii(row)
+    assert took[16000] <= 2.5 * took[8000] + 1
+
+
 def test_pii_awkward(spark):
     assert pii.find_pii(docs(spark, AWKWARD)).count() == len(AWKWARD)
     assert pii.find_pii(docs(spark, AWKWARD).limit(0)).count() == 0
