@@ -28,3 +28,15 @@ def truthy(column: Column | str) -> Column:
     """The value, or null where it is null or empty."""
     column = F.col(column) if isinstance(column, str) else column
     return F.when(column.cast("string") != "", column)
+
+
+def in_chunks(items: Column, body: Callable[[Column], Column]) -> Column:
+    """body(chunks) of an array cut into about as many chunks as each has items. What is quadratic within a chunk, or in
+    their number, is close to linear in the array."""
+
+    def of(whole: Column) -> Column:
+        width = F.greatest(F.lit(16), F.ceil(F.sqrt(F.size(whole))).cast("int"))
+        last = F.floor((F.greatest(F.size(whole), F.lit(1)) - 1) / width).cast("int")
+        return body(F.transform(F.sequence(F.lit(0), last), lambda k: F.slice(whole, k * width + 1, width)))
+
+    return let(items, of)

@@ -51,16 +51,22 @@ def clean_lines(text: Column) -> Column:
 
 
 def drop_templates(text: Column) -> Column:
-    """Without {{...}}, innermost first until none is left. A pass removes a template at least, so their opening braces bound
-    the passes."""
-    passes = F.sequence(F.lit(1), F.greatest(F.lit(1), F.regexp_count(text, F.lit(r"\{\{"))))
-    bare = F.aggregate(passes, text, lambda t, _: F.regexp_replace(t, r"\{\{[^{}]*\}\}", ""))
+    """Without {{...}}, innermost first until none is left: as many passes over the text as templates are nested, and one
+    that finds none. The steps behind that one (there are as many as opening braces) cost nothing."""
+
+    def step(state: Column, _: Column) -> Column:
+        less = let(F.regexp_replace(state.t, r"\{\{[^{}]*\}\}", ""), lambda t: F.struct(t.alias("t"), (t == state.t).alias("done")))
+        return F.when(state.done, state).otherwise(less)
+
+    steps = F.sequence(F.lit(1), F.greatest(F.lit(1), F.regexp_count(text, F.lit(r"\{"))))
+    bare = F.aggregate(steps, F.struct(text.alias("t"), F.lit(False).alias("done")), step, lambda state: state.t)
     return F.when(F.contains(text, F.lit("{{")), bare).otherwise(text)
 
 
 def clean_wikitext(text: Column) -> Column:
     """Wiki markup to plain text: templates, tables, links, external links, tags, quotes and heading marks."""
     out = let(text, drop_templates)
+    # Markup patterns in the order they are applied.
     for pattern, to in (
         (r"(?s)\{\|.*?\|\}", ""),
         (r"\[\[(?:[^|\]]*\|)?([^\]]*)\]\]", "$1"),
@@ -74,6 +80,7 @@ def clean_wikitext(text: Column) -> Column:
 def strip_wikitext(text: Column) -> Column:
     """The simpler rules of the download side: one template pass, named links, quotes; tables and headings stay."""
     out = text
+    # Markup patterns in the order they are applied.
     for pattern, to in (
         (r"\{\{[^}]*\}\}", ""),
         (r"\[\[[^|\]]*\|([^\]]*)\]\]", "$1"),

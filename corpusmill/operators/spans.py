@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.config import NAME_PLACEHOLDER
+from corpusmill.functions.columns import in_chunks, let
 from corpusmill.functions.scrub import scrub
 
 WINDOW, STEP = 510, 110
@@ -41,25 +42,49 @@ def token_windows(df: DataFrame, total: str, size: int = WINDOW, step: int = STE
 
 
 def merge_spans(spans: Column) -> Column:
-    """Distinct spans in order, merged where one starts no later than the one before ends (touching spans merge)."""
+    """Distinct spans in order, merged where one starts no later than the one before ends (touching spans merge). Spans are
+    merged within chunks, then chunk by chunk: a chunk's leading spans may fall into the last one of the chunks before."""
+    none = F.array().cast(SPANS)
+    span = lambda s, e: F.array(F.struct(s.alias("s"), e.alias("e")))
+    but_last = lambda out: F.slice(out, 1, F.greatest(F.size(out) - 1, F.lit(0)))
 
     def step(out: Column, x: Column) -> Column:
         last = F.try_element_at(out, F.lit(-1))
         joins = (F.size(out) > 0) & (x.s <= last.e)
-        longer = F.concat(F.slice(out, 1, F.size(out) - 1), F.array(F.struct(last.s.alias("s"), F.greatest(last.e, x.e).alias("e"))))
-        return F.when(joins, longer).otherwise(F.concat(out, F.array(F.struct(x.s.alias("s"), x.e.alias("e")))))
+        return F.when(joins, F.concat(but_last(out), span(last.s, F.greatest(last.e, x.e)))).otherwise(F.concat(out, span(x.s, x.e)))
 
-    return F.aggregate(F.array_sort(F.array_distinct(spans)), F.array().cast(SPANS), step)
+    def join_chunk(out: Column, chunk: Column) -> Column:
+        last = F.try_element_at(out, F.lit(-1))
+        inside = F.filter(chunk, lambda x: x.s <= last.e)
+        longer = span(last.s, F.greatest(last.e, F.try_element_at(inside, F.lit(-1)).e))
+        return F.when((F.size(out) > 0) & (F.size(inside) > 0), F.concat(but_last(out), longer, F.filter(chunk, lambda x: x.s > last.e))).otherwise(F.concat(out, chunk))
+
+    merged = lambda chunks: F.aggregate(F.transform(chunks, lambda chunk: F.aggregate(chunk, none, step)), none, join_chunk)
+    return in_chunks(F.array_sort(F.array_distinct(spans)), merged)
 
 
 def replace_spans(text: Column, spans: Column, placeholder: str = NAME_PLACEHOLDER) -> Column:
-    """Merged spans replaced, last first, where their stripped text has two characters at least."""
+    """Spans (in order, without overlaps, as merge_spans gives them) replaced where their stripped text has two characters
+    at least. The text is cut once for each chunk of spans, and each piece of it into the parts between its spans."""
+
+    def of(chunks: Column) -> Column:
+        starts = F.transform(chunks, lambda chunk, k: F.when(k == 0, F.lit(0)).otherwise(F.get(F.get(chunks, k - 1), F.size(F.get(chunks, k - 1)) - 1).e))
+
+        def piece(chunk: Column, base: Column) -> Column:
+            until = F.greatest(F.try_element_at(chunk, F.lit(-1)).e, base)
+            return let(F.substr(text, base + 1, until - base), lambda own: F.array_join(F.transform(chunk, lambda x, k: part(own, chunk, base, x, k)), ""))
+
+        def part(own: Column, chunk: Column, base: Column, x: Column, k: Column) -> Column:
+            before = F.when(k == 0, base).otherwise(F.get(chunk, k - 1).e)
+            inner = F.substr(own, x.s - base + 1, x.e - x.s)
+            kept = F.length(F.regexp_replace(inner, r"(?U)^\s+|\s+$", "")) >= 2
+            return F.concat(F.substr(own, before - base + 1, x.s - before), F.when(kept, F.lit(placeholder)).otherwise(inner))
 
-    def step(t: Column, x: Column) -> Column:
-        own = F.regexp_replace(F.substr(t, x.s + 1, x.e - x.s), r"(?U)^\s+|\s+$", "")
-        return F.when(F.length(own) >= 2, F.concat(F.substr(t, F.lit(1), x.s), F.lit(placeholder), F.substr(t, x.e + 1))).otherwise(t)
+        end = F.try_element_at(F.flatten(chunks), F.lit(-1)).e
+        return F.concat(F.array_join(F.zip_with(chunks, starts, piece), ""), F.substr(text, end + 1))
 
-    return F.aggregate(F.reverse(spans), text, step)
+    done = let(spans, lambda own: F.when(F.size(own) > 0, in_chunks(own, lambda chunks: let(chunks, of))))
+    return F.coalesce(done, text)
 
 
 def name_scrubber(load: Callable[[], Callable[[list[str]], list[list[tuple[int, int]]]]]):

@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -78,3 +79,15 @@ def test_law_text(spark):
 
 def test_no_regex_left_behind():
     assert re.fullmatch(HEBREW_PROFILE.script, "א") and not re.fullmatch(HEBREW_PROFILE.script, "a")
+
+
+def test_templates_go_by_nesting_and_not_by_number(spark):
+    texts = ["{{a}}" * 3000, "{" * 400 + "x" + "}" * 400, "{{{a}}{b}}", "{{a{{b}}c}} {{", "}}{{", "{{" * 2000]
+    want = []
+    for t in texts:
+        while (less := re.sub(r"\{\{[^{}]*\}\}", "", t)) != t:
+            t = less
+        want.append(t)
+    began = time.perf_counter()
+    got = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", text.drop_templates(F.col("t")).alias("t")).orderBy("i").collect()
+    assert [r.t for r in got] == want and time.perf_counter() - began < 60

@@ -86,6 +86,35 @@ def test_chat_and_answer(spark):
     assert [r[0] for r in frame.select(training.answer_of(F.col("t"))).collect()] == ["a", "none"]
 
 
+def plain_merge(spans):
+    out = []
+    for s, e in sorted(set(spans)):
+        if out and s <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], e))
+        else:
+            out.append((s, e))
+    return out
+
+
+def test_many_spans_against_plain_python(spark):
+    rng = random.Random(3)
+    rows = []
+    for k in range(60):
+        text = "".join(rng.choice("ab é\n東") for _ in range(rng.choice([0, 5, 3000])))
+        n = rng.choice([0, 1, 17, 300, 900])
+        rows.append((k, text, [(s := rng.randrange(len(text) + 1), min(len(text), s + rng.choice([0, 1, 2, 4, 30]))) for _ in range(n)]))
+    rows.append((99, "x" * 2000, [(i * 4, i * 4 + 2) for i in range(400)] + [(100, 1500)]))
+    frame = spark.createDataFrame(rows, "k int, t string, x " + spans.SPANS)
+    merged = spans.merge_spans(F.col("x"))
+    for r in frame.select("k", merged.alias("m"), spans.replace_spans(F.col("t"), merged, "#").alias("r")).collect():
+        _, text, own = next(x for x in rows if x[0] == r.k)
+        want = plain_merge(own)
+        assert [tuple(x) for x in r.m] == want
+        for s, e in reversed(want):
+            text = text[:s] + "#" + text[e:] if len(text[s:e].strip()) >= 2 else text
+        assert r.r == text
+
+
 def test_spans(spark):
     one = spark.createDataFrame([("abcdefgh", [(1, 3), (3, 5), (7, 8), (1, 3)])], "t string, x array<struct<s:int,e:int>>")
     row = one.select(spans.merge_spans(F.col("x")).alias("m"), spans.replace_spans(F.col("t"), spans.merge_spans(F.col("x"))).alias("r")).first()
