@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import WORD_PATTERN, Scratch, blank, read_table
+from corpusmill.llm.common import SPACE_CLASS, WORD_PATTERN, Scratch, blank, read_table
 
 #: Weights of the sources in code point order, repeating (a fixed value of the contract).
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -118,8 +118,9 @@ def mix_sources(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
 def mixed_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = SEED, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     """The mix itself: every document as often as mix_sources takes it, with the columns of df (any names).
 
-    A fractional repetition is the text's first `extra` words, joined by single spaces. Documents that the mix takes for
-    no words go, empty ones among them. Decisions are made on the rows themselves; nothing is joined by id.
+    A fractional repetition is the text up to the end of its `extra`-th word, with the white space it has. Documents that
+    the mix takes for no words go, empty ones among them. Decisions are made on the rows themselves; nothing is joined by
+    id.
     """
     scratch = Scratch(df.sparkSession, "mixing-texts")
     rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.col(source_col).alias("_origin"))
@@ -129,7 +130,9 @@ def mixed_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     copies = F.when(F.col("_size") > 0, F.col("epochs") + F.when(F.col("extra") > 0, 1).otherwise(0)).otherwise(0)
     done = done.where(copies > 0).withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("long"), copies - 1)))
     partial = (F.col("_copy") == F.col("epochs")) & (F.col("extra") < F.col("_size"))
-    head = F.array_join(F.slice(F.regexp_extract_all(blank(F.col("_text")), F.lit(f"({WORD_PATTERN})"), 1), 1, F.col("extra").cast("int")), " ")
+    # A word with the white space before it, as often as words are taken: joined they are the text's beginning as it stands.
+    spaced = F.regexp_extract_all(blank(F.col("_text")), F.lit(f"[{SPACE_CLASS}]*{WORD_PATTERN}"), F.lit(0))
+    head = F.array_join(F.slice(spaced, 1, F.col("extra").cast("int")), "")
     return done.select(*[(F.when(partial, head).otherwise(F.col("_text")).alias(c) if c == text_col else F.col(f"_row.`{c}`").alias(c)) for c in df.columns])
 
 

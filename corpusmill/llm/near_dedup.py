@@ -305,7 +305,7 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
     spread = classes.select("rep", "n", F.explode("bands").alias("bucket"))
     # What is joined by bucket is stored first: both sides of a join are then plain exchanges, and adaptive execution can
     # split a bucket that holds a third of all rows.
-    shared = scratch.save(spread.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"), "shared", narrow=True)
+    shared = scratch.save(spread.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"), "shared")
     members = scratch.save(spread.join(shared, "bucket"), "members")
     weight = scratch.save(members.groupBy("rep").agg(F.sum("size").alias("weight")), "weight", narrow=True)
 

@@ -1,4 +1,4 @@
-"""The queries of this subpackage, their SQL, and the pipeline."""
+"""The queries of this subpackage and their SQL."""
 
 from __future__ import annotations
 
@@ -19,13 +19,8 @@ from corpusmill.llm.secrets import op7_secrets
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    import corpus_pipeline
-
-    return {"pipeline": corpus_pipeline.run, "op1_quality": op1_quality, "op2_ann": op2_ann, "op3_packing": op3_packing, "op4_line_dedup": op4_line_dedup, "op5_near_dedup": op5_near_dedup, "op6_pii": op6_pii, "op7_secrets": op7_secrets, "op8_exact_dedup": op8_exact_dedup, "op9_licenses": op9_licenses, "op10_mixing": op10_mixing}
+    return {"op1_quality": op1_quality, "op2_ann": op2_ann, "op3_packing": op3_packing, "op4_line_dedup": op4_line_dedup, "op5_near_dedup": op5_near_dedup, "op6_pii": op6_pii, "op7_secrets": op7_secrets, "op8_exact_dedup": op8_exact_dedup, "op9_licenses": op9_licenses, "op10_mixing": op10_mixing}
 
 
 def oracle_sql() -> dict[str, str]:
-    import corpus_pipeline
-
-    own = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
-    return own | {"op4_line_dedup": OP4_SQL, "op8_exact_dedup": OP8_SQL}
+    return {"op4_line_dedup": OP4_SQL, "op8_exact_dedup": OP8_SQL}
