@@ -54,9 +54,11 @@ def drop_templates(text: Column) -> Column:
     """Without {{...}}, innermost first until none is left: as many passes over the text as templates are nested, and one
     that finds none. The steps behind that one (there are as many as opening braces) cost nothing."""
 
+    pattern = r"\{\{[^{}]*\}\}"
+
     def step(state: Column, _: Column) -> Column:
-        less = let(F.regexp_replace(state.t, r"\{\{[^{}]*\}\}", ""), lambda t: F.struct(t.alias("t"), (t == state.t).alias("done")))
-        return F.when(state.done, state).otherwise(less)
+        # No lambda within this one: Spark 4.1 then no longer finds a Python function around it, and fails.
+        return F.when(state.done, state).otherwise(F.struct(F.regexp_replace(state.t, pattern, "").alias("t"), (~state.t.rlike(pattern)).alias("done")))
 
     steps = F.sequence(F.lit(1), F.greatest(F.lit(1), F.regexp_count(text, F.lit(r"\{"))))
     bare = F.aggregate(steps, F.struct(text.alias("t"), F.lit(False).alias("done")), step, lambda state: state.t)
@@ -122,8 +124,8 @@ def clean_documents(df: DataFrame, normalise: bool = True) -> DataFrame:
     return out.where("text <> ''")
 
 
-def law_text(df: DataFrame) -> DataFrame:
-    """Law records to documents: key fallbacks, then labelled non-empty parts, one a line.
+def law_text(df: DataFrame, *keep: str) -> DataFrame:
+    """Law records to documents: key fallbacks, then labelled non-empty parts, one a line. Columns of `keep` stay.
 
     A key that is present counts even if its value is null; fallbacks only stand in for columns that the table lacks.
     """
@@ -132,4 +134,4 @@ def law_text(df: DataFrame) -> DataFrame:
     # Labels of the parts.
     parts = [F.when(value != "", F.concat(F.lit(label), value)) for label, value in (("שם החוק: ", title), ("סוג: ", kind), ("תאריך פרסום: ", date))]
     more = [F.when(F.col(c).cast("string") != "", F.concat(F.lit(f"{c}: "), F.col(c).cast("string"))) for c in ("LawDesc", "Description", "Text", "SubTypeDesc", "StatusDesc") if c in df.columns]
-    return df.select(have("LawID", "Id").alias("law_id"), title.alias("title"), kind.alias("type"), date.alias("publication_date"), F.concat_ws("\n", *parts, *more).alias("text"), F.lit("knesset").alias("source"))
+    return df.select(have("LawID", "Id").alias("law_id"), title.alias("title"), kind.alias("type"), date.alias("publication_date"), F.concat_ws("\n", *parts, *more).alias("text"), F.lit("knesset").alias("source"), *keep)

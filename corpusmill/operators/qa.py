@@ -88,10 +88,13 @@ def parsed_pairs(reply: Column) -> Column:
 
 def parse_replies(df: DataFrame, reply: str = "reply", min_answer: int = 20) -> DataFrame:
     """One row for each pair with a question and an answer longer than min_answer: the columns of df but the reply, question,
-    answer and conversations. Malformed replies give no rows."""
+    answer and conversations. Malformed replies give no rows, nor do those in which a question or an answer is null (missing
+    ones only count as empty)."""
     clean = F.transform(F.coalesce(parsed_pairs(F.col(reply)), F.array().cast("array<struct<question:string,answer:string>>")), lambda x: F.struct(strip(F.coalesce(x.question, F.lit(""))).alias("question"), strip(F.coalesce(x.answer, F.lit(""))).alias("answer")))
     good = F.filter(clean, lambda x: (x.question != "") & (F.length(x.answer) > min_answer))
-    out = df.withColumn("_pair", F.explode(good))
+    keyed = F.coalesce(F.from_json(unfenced(F.col(reply)), "array<map<string,string>>"), F.array().cast("array<map<string,string>>"))
+    void = F.exists(keyed, lambda x: F.exists(F.map_entries(x), lambda e: e.key.isin("question", "answer") & e.value.isNull()))
+    out = df.withColumn("_pair", F.explode(F.when(~void, good)))
     turn = lambda role, text: F.struct(F.lit(role).alias("role"), text.alias("content"))
     return out.select(*[c for c in df.columns if c != reply], "_pair.question", "_pair.answer", F.array(turn("user", F.col("_pair.question")), turn("assistant", F.col("_pair.answer"))).alias("conversations"))
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from corpusmill.config import NAME_PLACEHOLDER
 from corpusmill.functions.columns import in_chunks, let
 from corpusmill.functions.scrub import scrub
+from corpusmill.operators.store import slice_rows
 
 WINDOW, STEP = 510, 110
 SPANS = "array<struct<s:int,e:int>>"
@@ -109,3 +110,36 @@ def scrub_names(df: DataFrame, load: Callable | None = None, text_col: str = "te
     done = df.withColumn("_ruled", scrub(text)).withColumn("_spans", merge_spans(name_scrubber(load)(F.col("_ruled"))))
     marked = F.contains(text, F.lit(NAME_PLACEHOLDER))
     return done.withColumn(text_col, F.when(marked, text).otherwise(replace_spans(F.col("_ruled"), F.col("_spans")))).drop("_ruled", "_spans")
+
+
+def scrub_slice(df: DataFrame, load: Callable, start: int, size: int, *order: str, text_col: str = "text") -> DataFrame:
+    """The rows from place `start` on, `size` of them at most, with `outcome`: 'done' before (a name placeholder stands in the
+    text, which is left alone), 'scrubbed' (rules, then names), or 'failed': the model gave up on the text, which then
+    stays as it is for the next run. One bad text fails neither its batch nor the slice."""
+
+    @F.pandas_udf(SPANS)
+    def find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        model = load()
+
+        def one(text: str | None):
+            try:
+                return None if text is None else [{"s": int(s), "e": int(e)} for s, e in model([text])[0]]
+            except Exception:  # noqa: BLE001  a model may raise anything; null says that it did
+                return None
+
+        for texts in batches:
+            yield pd.Series([one(t) for t in texts], dtype=object)
+
+    rows = slice_rows(df, start, start + size, *order)
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    marked = F.contains(text, F.lit(NAME_PLACEHOLDER))
+    found = rows.withColumn("_ruled", F.when(~marked, scrub(text))).withColumn("_spans", find(F.col("_ruled")))
+    outcome = F.when(marked, "done").when(F.col("_spans").isNull(), "failed").otherwise("scrubbed")
+    done = F.when(outcome == "scrubbed", replace_spans(F.col("_ruled"), merge_spans(F.col("_spans")))).otherwise(text)
+    return found.withColumn("outcome", outcome).withColumn(text_col, done).drop("_ruled", "_spans", "row_index")
+
+
+def scrub_in_slices(df: DataFrame, load: Callable, *order: str, text_col: str = "text") -> DataFrame:
+    """All rows as scrub_slice does them. The slices of the rows are Spark's own partitions: each is a task, a lost one runs
+    again, and a text on which the model fails is reported as 'failed'."""
+    return scrub_slice(df, load, 0, (1 << 62), *order, text_col=text_col)

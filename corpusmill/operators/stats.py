@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.functions.columns import text_or_empty
 from corpusmill.functions.signals import word_count
+from corpusmill.operators.tables import Tables
 
 
 def seeded_place(key: Column, seed: int = 42) -> Column:
@@ -53,6 +56,24 @@ def tokenizer_stats(df: DataFrame, count_tokens=None, text_col: str = "text", na
     return sums.select(F.lit(name).alias("tokenizer"), "documents", "tokens", F.round(F.col("chars") / F.col("tokens"), 6).alias("chars_per_token"), F.round(F.col("tokens") / F.col("words"), 6).alias("tokens_per_word"))
 
 
+def tokenizer_table(df: DataFrame, tokenizers: dict[str, Callable[[], Callable[[Column], Column]]], per_source: int = 166, chars: int = 5000, source: str = "source", key: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, dict[str, str]]:
+    """tokenizer_stats of several tokenizers on a seeded sample of each source, texts cut to `chars`, with estimated_tokens,
+    the sample's mean carried on to all rows. A tokenizer that can't be loaded or run is left out; what went wrong comes back
+    by name. tokenizers: name -> a function that loads it and returns text column -> tokens."""
+    tables, total = Tables(df.sparkSession, "tokenizers"), df.count()
+    picked = sample_per_source(df.select(source, key, F.substring(text_or_empty(text_col), 1, chars).alias("_text")), per_source, source, key)
+    sample, out, failed = tables.save(picked.select("_text")), None, {}
+    for name, load in tokenizers.items():
+        try:
+            one = tables.save(tokenizer_stats(sample, load(), "_text", name))
+        except Exception as error:  # noqa: BLE001  a tokenizer may fail in any way; the others count
+            failed[name] = f"{type(error).__name__}: {error}".splitlines()[0]
+            continue
+        one = one.withColumn("estimated_tokens", F.floor(F.col("tokens") / F.col("documents") * F.lit(total)))
+        out = one if out is None else out.unionByName(one)
+    return out, failed
+
+
 def stage_counts(stages: dict[str, DataFrame], source: str = "source") -> DataFrame:
     """Rows by stage and source."""
     out = None

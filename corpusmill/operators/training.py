@@ -39,8 +39,10 @@ def upsample(df: DataFrame, source: str = "source", config: FormatConfig | None
 
 
 def shuffled(df: DataFrame, *keys: str, seed: int = 42) -> DataFrame:
-    """A global order by seeded hash, the same however the rows are partitioned."""
-    return df.orderBy(F.xxhash64(F.lit(seed), *[F.col(k) for k in keys]), *keys)
+    """A global order by seeded md5 of the keys, the same however the rows are partitioned and in any engine with md5; `place`
+    holds what they are ordered by."""
+    place = F.md5(F.concat_ws("/", F.lit(str(seed)), *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]))
+    return df.withColumn("place", place).orderBy("place", *keys)
 
 
 def split_stats(df: DataFrame, source: str = "source", config: FormatConfig | None = None) -> DataFrame:

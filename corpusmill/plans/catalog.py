@@ -11,7 +11,7 @@ from corpusmill.config import HEBREW_PROFILE, LATIN_PROFILE, FormatConfig
 from corpusmill.functions import scrub as scrubbing
 from corpusmill.functions import signals, text
 from corpusmill.functions.columns import text_or_empty
-from corpusmill.operators import dedup, qa, spans, stats, store, training
+from corpusmill.operators import dedup, qa, records, spans, stats, store, training
 from corpusmill.plans import pipeline
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -272,11 +272,14 @@ def upsample(spark, sf_dir):
     return training.upsample(docs, config=FORMAT).select("doc_id", "split", "copy")
 
 
-@query()
+@query(
+    f"""SELECT source, doc_id, copy, md5(concat_ws('/', '42', source, doc_id, copy)) AS place
+    FROM (SELECT source, doc_id, CAST(unnest(range(1, {_WEIGHT} + 1)) AS INTEGER) AS copy FROM documents WHERE {_SPLIT} = 'train') ORDER BY place, source, doc_id, copy"""
+)
 def train_shuffle(spark, sf_dir):
     docs = training.with_split(table(spark, sf_dir, "documents").select("doc_id", "source"))
     rows = training.upsample(docs.where("split = 'train'"), config=FORMAT)
-    return training.shuffled(rows, "source", "doc_id", "copy").select("source", "doc_id", "copy")
+    return training.shuffled(rows, "source", "doc_id", "copy").select("source", "doc_id", "copy", "place")
 
 
 _STATS = f"""SELECT source, count(*) AS raw_docs, count(*) FILTER (WHERE split = 'train') AS train_docs, count(*) FILTER (WHERE split = 'train') * {_WEIGHT} AS train_rows,
@@ -344,6 +347,21 @@ def tokenizer_stats(spark, sf_dir):
     return stats.tokenizer_stats(documents(spark, sf_dir))
 
 
+@query(
+    f"""WITH s AS (SELECT substr(coalesce(text, ''), 1, 5000) AS t FROM (SELECT text, {_PLACE} AS place FROM documents) WHERE place <= 166),
+    n AS (SELECT count(*) AS documents, sum(length(t)) AS c, sum({SIGNAL_SQL['word_count'].replace("coalesce(text, '')", 't')}) AS w, sum(strlen(t)) AS b FROM s), k AS (SELECT 'whitespace' AS tokenizer, w AS tokens FROM n UNION ALL SELECT 'bytes', b FROM n UNION ALL SELECT 'characters', c FROM n)
+    SELECT tokenizer, documents, CAST(tokens AS BIGINT) AS tokens, round(c / tokens, 6) AS chars_per_token, round(tokens / w, 6) AS tokens_per_word, CAST(floor(tokens / documents * (SELECT count(*) FROM documents)) AS BIGINT) AS estimated_tokens FROM k CROSS JOIN n"""
+)
+def tokenizer_analysis(spark, sf_dir):
+    """Three tokenizers that need no download, and one that can't be loaded."""
+
+    def lost():
+        raise OSError("no such model")
+
+    kinds = {"whitespace": lambda: signals.word_count, "lost": lost, "bytes": lambda: F.octet_length, "characters": lambda: F.length}
+    return stats.tokenizer_table(documents(spark, sf_dir), kinds)[0]
+
+
 @query("SELECT 'documents' AS stage, source, count(*) AS documents FROM documents GROUP BY source UNION ALL SELECT 'long', source, count(*) FROM documents WHERE length(coalesce(text, '')) >= 200 GROUP BY source")
 def stage_counts(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
@@ -407,7 +425,10 @@ def parse_qa(spark, sf_dir):
     return qa.parse_replies(replies).select("doc_id", "question", "answer")
 
 
-@query()
+@query(
+    f"""SELECT doc_id, (['malformed', 'limited', 'blocked', 'failed', 'ok'])[k + 1] AS outcome, k IN (0, 2, 4) AS done FROM (
+    SELECT doc_id, length('{_HEAD}' || CASE WHEN length(coalesce(text, '')) > 8000 THEN substr(text, 1, 8000) || '...' ELSE coalesce(text, '') END || '{_TAIL}') % 5 AS k FROM documents)"""
+)
 def model_calls(spark, sf_dir):
     """Prompts through a deterministic stand-in for a model, with every outcome."""
 
@@ -471,19 +492,45 @@ def span_replace(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", F.md5(spans.replace_spans(TEXT(), spans.merge_spans(one))).alias("text_md5"))
 
 
-@query()
+_NAMES_SQL = f"CASE WHEN contains(coalesce(text, ''), '[שם]') THEN coalesce(text, '') ELSE regexp_replace({_SCRUB_SQL}, '\\b[A-Z][a-z]+ [A-Z][a-z]+\\b', '[שם]', 'g') END"
+
+
+@query(f"SELECT doc_id, md5({_NAMES_SQL}) AS text_md5 FROM documents")
 def name_scrub(spark, sf_dir):
     """Name spans of a stand-in model (capitalised word pairs), replaced."""
 
     def load():
         import re
 
-        pair = re.compile(r"\b[A-Z][a-z]+ [A-Z][a-z]+\b")
+        pair = re.compile(r"\b[A-Z][a-z]+ [A-Z][a-z]+\b", re.ASCII)
         return lambda texts: [[m.span() for m in pair.finditer(t)] for t in texts]
 
     return spans.scrub_names(documents(spark, sf_dir).select("doc_id", "text"), load).select("doc_id", F.md5("text").alias("text_md5"))
 
 
+@query(
+    f"""SELECT doc_id, CASE WHEN contains(coalesce(text, ''), '[שם]') THEN 'done' WHEN bad THEN 'failed' ELSE 'scrubbed' END AS outcome, md5(CASE WHEN bad THEN coalesce(text, '') ELSE {_NAMES_SQL} END) AS text_md5
+    FROM (SELECT doc_id, CASE WHEN doc_id % 11 = 0 THEN '[שם] ' || coalesce(text, '') ELSE text END AS text FROM documents) CROSS JOIN LATERAL (SELECT length({_SCRUB_SQL}) % 7 = 0 AS bad)"""
+)
+def name_scrub_slices(spark, sf_dir):
+    """Names in slices of rows, with texts that are marked before and a stand-in model that fails on some."""
+
+    def load():
+        import re
+
+        pair = re.compile(r"\b[A-Z][a-z]+ [A-Z][a-z]+\b", re.ASCII)
+
+        def model(texts):
+            if any(len(t) % 7 == 0 for t in texts):
+                raise RuntimeError("the model gave up")
+            return [[m.span() for m in pair.finditer(t)] for t in texts]
+
+        return model
+
+    docs = documents(spark, sf_dir).select("doc_id", F.when(F.col("doc_id") % 11 == 0, F.concat(F.lit("[שם] "), TEXT())).otherwise(F.col("text")).alias("text"))
+    return spans.scrub_in_slices(docs, load, "doc_id").select("doc_id", "outcome", F.md5("text").alias("text_md5"))
+
+
 # ------------------------------------------------------------------ store
 
 
@@ -503,10 +550,9 @@ def title_union(spark, sf_dir):
     return store.union_titles(listing("lang"), listing("source"), listing("lang"))
 
 
-@query("SELECT DISTINCT substr(coalesce(text, ''), 1, 40) AS title FROM documents WHERE starts_with(coalesce(text, ''), 'The ') OR starts_with(coalesce(text, ''), 'De ')")
+@query("SELECT DISTINCT p_name AS title FROM part WHERE starts_with(p_name, 'cold ') OR starts_with(p_name, 'small ')")
 def title_prefixes(spark, sf_dir):
-    titles = table(spark, sf_dir, "documents").select(F.substring(TEXT(), 1, 40).alias("title"))
-    return store.titles_with_prefix(titles, ["The ", "De "])
+    return store.titles_with_prefix(table(spark, sf_dir, "part").select(F.col("p_name").alias("title")), ["cold ", "small "])
 
 
 @query("SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
@@ -514,18 +560,95 @@ def resume_pending(spark, sf_dir):
     return store.pending(table(spark, sf_dir, "documents").select("doc_id", "source"), table(spark, sf_dir, "labels"), "doc_id")
 
 
-@query("SELECT doc_id, 'https://example.org/wiki/' || replace(substr(coalesce(text, ''), 1, 30), ' ', '_') AS url FROM documents WHERE length(coalesce(text, '')) >= 50 AND NOT contains(substr(coalesce(text, ''), 1, 30), '\"')")
+@query("SELECT page_id, 'https://example.org/wiki/' || replace(url, ' ', '_') AS url FROM pages WHERE length(coalesce(html, '')) >= 50 AND NOT contains(url, '\"')")
 def page_urls(spark, sf_dir):
-    title = F.substring(TEXT(), 1, 30)
-    docs = store.long_enough(table(spark, sf_dir, "documents"), 50).where(~F.contains(title, F.lit('"')))
-    return docs.select("doc_id", store.page_url("https://example.org/wiki/", title).alias("url"))
+    docs = store.long_enough(table(spark, sf_dir, "pages"), 50, "html").where(~F.contains("url", F.lit('"')))
+    return docs.select("page_id", store.page_url("https://example.org/wiki/", F.col("url")).alias("url"))
 
 
-@query("SELECT doc_id, 'gc_' || CASE WHEN doc_id % 3 = 0 THEN source ELSE CAST(doc_id AS VARCHAR) END AS store_id, md5(coalesce(text, '')) AS text_md5 FROM documents WHERE length(coalesce(text, '')) >= 100")
+@query(
+    """WITH k AS (SELECT *, row_number() OVER (ORDER BY doc_id) - 1 AS place FROM documents WHERE length(coalesce(text, '')) >= 100)
+    SELECT 'gc_' || CASE doc_id % 3 WHEN 0 THEN 'j' || doc_id WHEN 1 THEN source || '/' || doc_id ELSE CAST(place AS VARCHAR) END AS store_id, CASE WHEN doc_id % 3 = 0 THEN 'j' || doc_id ELSE '' END AS judgment_id,
+    lang AS title, CASE WHEN doc_id % 3 < 2 THEN source || '/' || doc_id END AS case_number, '' AS date, CAST(n_chars AS VARCHAR) AS court_type, '' AS district, '' AS subject, lang || '; ' || source AS judges, md5(text) AS text_md5, 'court_guychuk' AS source FROM k"""
+)
 def court_scan(spark, sf_dir):
-    docs = store.long_enough(table(spark, sf_dir, "documents"), 100)
-    judgment = F.when(F.col("doc_id") % 3 == 0, F.lit("")).otherwise(F.col("doc_id").cast("string"))
-    return docs.select("doc_id", store.fallback_id("gc_", judgment, F.col("source")).alias("store_id"), F.md5(TEXT()).alias("text_md5"))
+    doc, kind = F.col("doc_id"), F.col("doc_id") % 3
+    rows = table(spark, sf_dir, "documents").select(
+        doc.alias("row_place"), F.when(kind == 0, F.concat(F.lit("j"), doc)).otherwise("").alias("judgment_id"), F.col("lang").alias("title"), F.when(kind < 2, F.concat_ws("/", "source", doc)).alias("name_number"),
+        F.col("n_chars").cast("string").alias("court_type_label"), F.concat_ws("; ", "lang", "source").alias("judges_str"), F.col("text").alias("document_text"),
+    )
+    return records.court_judgments(rows, "row_place").withColumn("text_md5", F.md5("text")).drop("text")
+
+
+@query(
+    """WITH k AS (SELECT *, row_number() OVER (ORDER BY doc_id) - 1 AS place FROM documents WHERE length(coalesce(text, '')) >= 200)
+    SELECT 'sc_' || CASE WHEN doc_id % 4 < 3 THEN 'c' || doc_id ELSE CAST(place AS VARCHAR) END AS store_id, CASE WHEN doc_id % 4 < 2 THEN 'c' || doc_id END AS case_id, CASE WHEN doc_id % 4 = 2 THEN 'c' || doc_id ELSE '' END AS case_num,
+    source AS case_name, lang AS title, CAST(n_chars AS VARCHAR) AS date, '' AS year, '' AS type, lang || ',' || source AS judges, '' AS parties, '' AS lawyers, '' AS court, lang AS division, md5(text) AS text_md5, 'court_supreme' AS source FROM k"""
+)
+def supreme_scan(spark, sf_dir):
+    doc, kind = F.col("doc_id"), F.col("doc_id") % 4
+    rows = table(spark, sf_dir, "documents").select(
+        doc.alias("row_place"), F.when(kind < 2, F.concat(F.lit("c"), doc)).alias("case_id"), F.when(kind == 2, F.concat(F.lit("c"), doc)).otherwise("").alias("CaseNum"), F.lit("never read").alias("case_nbr"), F.col("source").alias("meta_case_nm"),
+        F.col("lang").alias("html_title"), F.col("n_chars").cast("string").alias("meta_verdict_dt"), F.array("lang", "source").alias("meta_judge"), F.col("lang").alias("meta_mador_nm"), "text",
+    )
+    found = records.supreme_judgments(rows, "row_place")
+    return found.select(*[F.array_join(c, ",").alias(c) if c in records.LISTS else c for c in found.columns if c != "text"], F.md5("text").alias("text_md5"))
+
+
+@query("SELECT count(*) FILTER (WHERE length(coalesce(text, '')) >= 200) AS saved, count(*) FILTER (WHERE length(coalesce(text, '')) < 200) AS skipped FROM documents")
+def supreme_scan_counts(spark, sf_dir):
+    return records.skipped_short(table(spark, sf_dir, "documents"), 200, "text")
+
+
+@query(
+    r"""SELECT doc_id, lang || ' ' || source AS title, md5(w) AS wikitext_md5, md5(t) AS text_md5, lang || ',' || source AS categories, 'wikisource' AS source, 'https://example.org/wiki/' || lang || '_' || source AS url FROM (
+    SELECT *, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(w, '\{\{[^}]*\}\}', '', 'g'), '\[\[[^|\]]*\|([^\]]*)\]\]', '\1', 'g'),
+    '\[\[([^\]]*)\]\]', '\1', 'g'), '\[https?://\S+\s+([^\]]+)\]', '\1', 'g'), '<[^>]+>', '', 'g'), '''{2,}', '', 'g'), '\n{3,}', chr(10) || chr(10), 'g'), ' ' || chr(9) || chr(10) || chr(13)) AS t
+    FROM (SELECT doc_id, lang, source, """
+    + WIKI_SQL
+    + " AS w FROM documents WHERE doc_id % 5 <> 0)) WHERE length(t) >= 150"
+)
+def page_contents(spark, sf_dir):
+    """Parse replies made from documents, some of them without a result."""
+    wikitext, names = F.struct(_wiki().alias("*")), F.array(F.struct(F.col("lang").alias("*")), F.struct(F.col("source").alias("*")))
+    good = F.to_json(F.struct(F.struct(wikitext.alias("wikitext"), names.alias("categories")).alias("parse")))
+    replies = documents(spark, sf_dir).select("doc_id", F.concat_ws(" ", "lang", "source").alias("title"), F.when(F.col("doc_id") % 5 == 0, '{"error": {"code": "missing"}}').otherwise(good).alias("reply"))
+    found = records.page_records(replies, "https://example.org/wiki/", "wikisource", 150)
+    return found.select("doc_id", "title", F.md5("wikitext").alias("wikitext_md5"), F.md5("text").alias("text_md5"), F.array_join("categories", ",").alias("categories"), "source", "url")
+
+
+@query(
+    """SELECT CASE WHEN s_suppkey % 4 > 0 THEN CAST(s_suppkey AS VARCHAR) ELSE s_name END AS store_id, s_name AS title, md5('שם החוק: ' || s_name || chr(10) || 'StatusDesc: x' || s_suppkey) AS text_md5,
+    '{"LawID":' || CASE WHEN s_suppkey % 4 > 0 THEN '"' || s_suppkey || '"' ELSE 'null' END || ',"Name":"' || s_name || '","StatusDesc":"x' || s_suppkey || '"}' AS raw_fields FROM supplier WHERE s_suppkey % 3 > 0"""
+)
+def law_documents(spark, sf_dir):
+    key = F.col("s_suppkey")
+    laws = table(spark, sf_dir, "supplier").select(F.when(key % 4 > 0, key.cast("string")).alias("LawID"), F.when(key % 3 > 0, F.col("s_name")).when(key % 2 > 0, F.lit("")).alias("Name"), F.concat(F.lit("x"), key).alias("StatusDesc"))
+    return records.law_documents(laws).select("store_id", "title", F.md5("text").alias("text_md5"), "raw_fields")
+
+
+@query(
+    """WITH l AS (SELECT 1 AS range_no, doc_id AS ord, source AS title FROM documents WHERE doc_id % 2 = 0 UNION ALL SELECT 2, doc_id, source || lang FROM documents UNION ALL SELECT -1, doc_id, lang FROM documents)
+    SELECT title, min(range_no) AS range_no, min_by(ord, range_no * 1000000000 + ord) AS ord FROM l GROUP BY title"""
+)
+def listed_titles(spark, sf_dir):
+    """Ranges 0 to 3 of a listing: the first is left out as there are titles, the third is the first that was read to its end."""
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("ord"), "lang", "source")
+    part = lambda n, completed, title, rows=docs: rows.select(F.lit(n).alias("range_no"), F.lit(completed).alias("completed"), "ord", title.alias("title"))
+    both = F.concat("source", "lang")
+    listing = part(0, True, F.lit("never")).unionByName(part(1, False, F.col("source"), docs.where("ord % 2 = 0"))).unionByName(part(2, True, both)).unionByName(part(3, True, F.lit("behind the end")))
+    return store.listed_titles(listing, docs.select("ord", F.col("lang").alias("title")))
+
+
+@query("SELECT lang AS title FROM documents WHERE lang IS NOT NULL UNION SELECT source FROM documents WHERE source LIKE 'src1%' UNION SELECT c_mktsegment FROM customer ORDER BY title")
+def sorted_titles(spark, sf_dir):
+    """Listings and prefixes, one of which fails."""
+    docs = table(spark, sf_dir, "documents")
+    listings = {
+        "languages": lambda: docs.where("lang IS NOT NULL").select(F.col("lang").alias("title")), "lost": lambda: table(spark, sf_dir, "no_such_table"),
+        "prefix": lambda: store.titles_with_prefix(docs.select(F.col("source").alias("title")), ["src1"]), "segments": lambda: table(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias("title")),
+    }
+    return store.sorted_titles(spark, listings)[0]
 
 
 @query("SELECT doc_id, CAST(row_number() OVER (ORDER BY doc_id) - 1 AS BIGINT) AS row_index FROM documents QUALIFY row_index >= 100 AND row_index < 150")

@@ -55,6 +55,48 @@ def status_checked(fetch: Callable) -> Callable:
     return run
 
 
+def read_range(fetch: Callable, titles: list, save: Callable[[list, str | None], None], delay: float = 1.0, cooldown: float = 60.0, batch: int = 15, checkpoint: int = 5, blocks: int = 2, sleep: Callable[[float], None] = time.sleep) -> bool:
+    """One range of a listing by cursor, appended to titles: fetch(cursor) -> (titles, next cursor or None).
+
+    Progress is saved every `checkpoint` requests, and before each pause. A pause is `delay` between requests, `cooldown`
+    behind every `batch` of them and after a refusal (RateLimited). `blocks` refusals in a row give the range up.
+    Returns whether the range was read to its end.
+    """
+    cursor, requests, refused = None, 0, 0
+    while True:
+        try:
+            found, following = fetch(cursor)
+        except RateLimited:
+            refused += 1
+            save(titles, cursor)
+            if refused >= blocks:
+                return False
+            sleep(cooldown)
+            continue
+        refused, requests = 0, requests + 1
+        titles.extend(found)
+        if not following:
+            return True
+        cursor = following
+        if requests % checkpoint == 0 or requests % batch == 0:
+            save(titles, cursor)
+        sleep(delay if requests % batch else cooldown)
+
+
+def read_ranges(starts: list[str | None], fetch_from: Callable[[str | None], Callable], titles: list, save: Callable[[list, str | None], None], **pauses) -> list:
+    """Ranges of a listing in turn, until one is read to its end; titles in the order of their first occurrence. The range
+    without a start is left out if there are titles already. fetch_from(start) gives read_range's fetch."""
+    for start in starts:
+        if start is None and titles:
+            continue
+        if read_range(fetch_from(start), titles, save, **pauses):
+            break
+        pauses.get("sleep", time.sleep)(pauses.get("cooldown", 60.0))
+    titles[:] = dict.fromkeys(titles)
+    save(titles, None)
+    return titles
+
+
 class OffsetPages(InputPartition):
     def __init__(self, first: int, stride: int):
         self.first, self.stride = first, stride
