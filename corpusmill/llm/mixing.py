@@ -47,10 +47,11 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_e
 
 
 def _placed(df: DataFrame, id_col: str, text_col: str, source_col: str, seed: int) -> DataFrame:
-    """Adds _source, _size, _place (seeded hash order) and _bucket (its top bits); they depend on id and text alone."""
-    place = F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col))
+    """Adds _source, _size, _place (seeded order: the first 60 bits of an md5) and _bucket (its top 16 bits); they depend on
+    id and text alone, and any engine with md5 can tell them."""
+    place = F.conv(F.substring(F.md5(F.concat_ws("/", F.lit(str(seed)), blank(F.col(id_col)), blank(F.col(text_col)))), 1, 15), 16, 10).cast("long")
     out = df.withColumn("_source", F.col(source_col).cast("string")).withColumn("_size", word_count(F.col(text_col))).withColumn("_place", place)
-    return out.withColumn("_bucket", F.shiftrightunsigned("_place", 48).cast("int"))
+    return out.withColumn("_bucket", F.shiftright("_place", 44).cast("int"))
 
 
 def _edge(sums: DataFrame, targets: DataFrame) -> DataFrame:
@@ -139,3 +140,22 @@ def mixed_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """mix_sources over all rows and whole texts of documents."""
     return mix_sources(read_table(spark, sf_dir, "documents"))
+
+
+OP10_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^ \t-\r]+'))::BIGINT AS size,
+    ('0x' || substr(md5('17/' || coalesce(doc_id::VARCHAR, '') || '/' || coalesce(text, '')), 1, 15))::BIGINT AS place FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+w AS (SELECT *, ([5, 2, 1])[(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1]::DOUBLE AS weight, 3 * source_size AS clamp FROM s),
+l AS (
+  SELECT *, row_number() OVER o AS turn, (sum(source_size) OVER () - coalesce(sum(clamp) OVER p, 0))::DOUBLE / (sum(weight) OVER () - coalesce(sum(weight) OVER p, 0)) AS level FROM w
+  WINDOW o AS (ORDER BY clamp / weight, source NULLS LAST), p AS (ORDER BY clamp / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+t AS (
+  SELECT source, source_size, CASE WHEN source_size = 0 THEN 0.0::DOUBLE ELSE least(clamp::DOUBLE, coalesce((SELECT min_by(level, turn) FROM l WHERE level * weight <= clamp) * weight, clamp::DOUBLE)) END AS target FROM l),
+e AS (SELECT *, CASE WHEN source_size = 0 THEN 0 ELSE least(floor(target / source_size), 3)::BIGINT END AS epochs FROM t),
+q AS (SELECT *, round(target - epochs * source_size)::BIGINT AS quota FROM e),
+b AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY place, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before FROM d),
+x AS (SELECT doc_id, size, source_size, target, epochs, greatest(0, least(size, quota - before)) AS extra FROM b JOIN q ON b.source IS NOT DISTINCT FROM q.source)
+SELECT doc_id, size, source_size, target, epochs * size + extra AS taken, epochs, extra FROM x
+"""

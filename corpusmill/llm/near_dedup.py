@@ -382,3 +382,17 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """near_dedup over all rows and whole texts of documents, with shingles of four words as its contract sets."""
     return near_dedup(read_table(spark, sf_dir, "documents"), width=4, percent=80)
+
+
+OP5_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ \t-\r]+') AS w FROM documents),
+g AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 4 THEN list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS shingle FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+c AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS both_have FROM g a JOIN g b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+l AS (SELECT u, v FROM c JOIN n x ON x.doc_id = u JOIN n y ON y.doc_id = v WHERE 100 * both_have >= 80 * (x.n + y.n - both_have)),
+e AS (SELECT u, v FROM l UNION ALL SELECT v, u FROM l),
+r AS (SELECT doc_id, doc_id AS least_id FROM documents UNION SELECT e.v, r.least_id FROM r JOIN e ON r.doc_id = e.u AND r.least_id < e.v),
+m AS (SELECT doc_id, min(least_id) AS component_id FROM r GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN m ON m.doc_id = d.doc_id
+"""

@@ -10,8 +10,8 @@ from corpusmill.llm.ann import op2_ann
 from corpusmill.llm.exact_dedup import OP8_SQL, op8_exact_dedup
 from corpusmill.llm.licenses import op9_licenses
 from corpusmill.llm.line_dedup import OP4_SQL, op4_line_dedup
-from corpusmill.llm.mixing import op10_mixing
-from corpusmill.llm.near_dedup import op5_near_dedup
+from corpusmill.llm.mixing import OP10_SQL, op10_mixing
+from corpusmill.llm.near_dedup import OP5_SQL, op5_near_dedup
 from corpusmill.llm.packing import op3_packing
 from corpusmill.llm.pii import op6_pii
 from corpusmill.llm.quality import op1_quality
@@ -23,4 +23,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_line_dedup": OP4_SQL, "op8_exact_dedup": OP8_SQL}
+    return {"op4_line_dedup": OP4_SQL, "op5_near_dedup": OP5_SQL, "op8_exact_dedup": OP8_SQL, "op10_mixing": OP10_SQL}
