@@ -3,12 +3,14 @@
 Templates are cut into words; hashes of GRAM words in a row are winnowed (the least hash of every WINDOW neighbours is
 kept) and posted in an inverted index: fingerprint -> (template, place). The index is a few thousand entries, fixed by
 the templates, and goes to every task. A text's fingerprints are winnowed the same way, so a shared passage of GRAM +
-WINDOW - 1 words always shares one. Hits of one template on neighbouring diagonals pick a candidate region, and a banded
-alignment of the template's words against that region's words gives the matched words, the coverage and the span.
+WINDOW - 1 words always shares one. Every diagonal (place in the text less place in the template) that a hit lies on is a
+candidate, and a banded alignment of the template's words against the text's words around it gives the matched words, the
+coverage and the span. Candidates of a template are aligned side by side; those that match word for word need no table.
 """
 
 from __future__ import annotations
 
+import bisect
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -61,6 +63,61 @@ TEMPLATES = {
         "the documentation and/or other materials provided with the distribution."
     ),
     "Unlicense": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software",
+    "MIT-whole": (
+        'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, '
+        "including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do "
+        "so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "
+        '"AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE '
+        "AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE "
+        "OR OTHER DEALINGS IN THE SOFTWARE."
+    ),
+    "ISC-whole": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. "
+        'THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE '
+        "LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS "
+        "ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."
+    ),
+    "BSD-2-Clause-whole": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above "
+        "copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in "
+        'the documentation and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, '
+        "BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, "
+        "INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) "
+        "HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF "
+        "THE POSSIBILITY OF SUCH DAMAGE."
+    ),
+    "BSD-3-Clause": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above "
+        "copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in "
+        "the documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived "
+        'from this software without specific prior written permission. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT '
+        "LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, "
+        "INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER "
+        "CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE "
+        "POSSIBILITY OF SUCH DAMAGE."
+    ),
+    "Zlib": (
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone "
+        "to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: 1. The origin of this software must not be "
+        "misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required. 2. "
+        "Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software. 3. This notice may not be removed or altered from any source distribution."
+    ),
+    "BSL-1.0": (
+        'Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the "Software") to use, reproduce, '
+        "display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the "
+        "following: The copyright notices in the Software and this entire statement, including the above license grant, this restriction and the following disclaimer, must be included in all copies of the Software, "
+        "in whole or in part, and all derivative works of the Software, unless such copies or derivative works are solely in the form of machine-executable object code generated by a source language processor."
+    ),
+    "LGPL-notice": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the "
+        "License, or (at your option) any later version. This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR "
+        "A PARTICULAR PURPOSE. See the GNU Lesser General Public License for more details."
+    ),
+    "AGPL-3.0-notice": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the "
+        "License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR "
+        "A PARTICULAR PURPOSE. See the GNU Affero General Public License for more details."
+    ),
 }
 
 _IS_WORD = np.zeros(256, bool)
@@ -102,35 +159,62 @@ class TemplateIndex:
         self.maybe[(self.sorted >> np.uint64(48)).astype(np.int64)] = True
 
 
-def align(template: np.ndarray, text: np.ndarray, diagonal: int, band: int = BAND) -> tuple[int, int, int]:
-    """Banded alignment of all template words with text words near one diagonal (text place - template place).
+def align_all(template: np.ndarray, text: np.ndarray, diagonals: np.ndarray, band: int = BAND) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Banded alignments of all template words with text words near each diagonal (text place - template place), side by side.
 
-    Returns (matched words, first and last matched text word), the most matches with the fewest words left out between.
+    Returns (matched words, first and last matched text word) by diagonal: the most matches with the fewest words left out
+    between; 0 matched words have no span.
     """
-    n, width = len(template), 2 * band + 1
-    best = np.full((n + 1, width), -1e9)
-    back = np.zeros((n + 1, width), np.int8)
-    best[0] = 0.0
-    for i in range(1, n + 1):
-        for k in range(width):
-            j = i + diagonal + k - band  # text words used after this step
-            options = (
-                (best[i - 1, k] + 1.0 if 0 < j <= len(text) and template[i - 1] == text[j - 1] else -1e9, 1),
-                (best[i - 1, k + 1] - 0.01 if k + 1 < width else -1e9, 2),  # a template word that the text lacks
-                (best[i, k - 1] - 0.01 if k else -1e9, 3),  # a text word that the template lacks
-            )
-            best[i, k], back[i, k] = max(options)
-    i, k = n, int(np.argmax(best[n]))
-    matched = []
-    while i > 0:
-        if back[i, k] == 1:
-            matched.append(i + diagonal + k - band - 1)
-            i -= 1
-        elif back[i, k] == 2:
-            i, k = i - 1, k + 1
-        else:
-            k -= 1
-    return (len(matched), matched[-1], matched[0]) if matched else (0, 0, 0)
+    n, width, many = len(template), 2 * band + 1, len(diagonals)
+    shift, rows = np.arange(width) - band, np.arange(many)
+    gap = 0.01 * np.arange(width)
+    best, back = np.zeros((many, width)), np.zeros((n, many, width), np.int8)
+    for i in range(n):
+        at = diagonals[:, None] + (shift + i)[None, :]  # the text word that meets template word i
+        inside = (at >= 0) & (at < len(text))
+        same = inside & (text[np.clip(at, 0, len(text) - 1)] == template[i])
+        hit = np.where(same, best + 1.0, -1e9)
+        skip = np.concatenate([best[:, 1:] - 0.01, np.full((many, 1), -1e9)], axis=1)  # a template word that the text lacks
+        now = np.maximum(hit, skip)
+        # Text words that the template lacks: the best of all places to the left, less what lies between.
+        through = np.maximum.accumulate(now + gap, axis=1) - gap
+        back[i] = np.where(through > now + 1e-6, 3, np.where(hit >= skip, 1, 2))
+        best = through
+    i, k = np.full(many, n - 1), best.argmax(axis=1)
+    matched, first, last = np.zeros(many, np.int64), np.zeros(many, np.int64), np.zeros(many, np.int64)
+    going = rows
+    while len(going):
+        step, at = back[i[going], going, k[going]], diagonals[going] + shift[k[going]] + i[going]
+        hits = going[step == 1]
+        last[hits] = np.where(matched[hits] == 0, at[step == 1], last[hits])
+        first[hits] = at[step == 1]
+        matched[hits] += 1
+        k[going] += np.where(step == 2, 1, np.where(step == 3, -1, 0))
+        i[going] -= step != 3
+        going = going[i[going] >= 0]
+    return matched, first, last
+
+
+def align(template: np.ndarray, text: np.ndarray, diagonal: int, band: int = BAND) -> tuple[int, int, int]:
+    """align_all along one diagonal."""
+    if not len(text):
+        return 0, 0, 0
+    matched, first, last = align_all(template, text, np.array([diagonal]), band)
+    return int(matched[0]), int(first[0]), int(last[0])
+
+
+def _aligned(template: np.ndarray, text: np.ndarray, diagonals: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """(matched, first, last) for each diagonal; what matches word for word first, without a table."""
+    n = len(template)
+    fits = diagonals[(diagonals >= 0) & (diagonals + n <= len(text))]
+    whole = np.zeros(0, np.int64)
+    for k in range(0, len(fits), step := max(1, (1 << 18) // n)):
+        part = fits[k : k + step]
+        whole = np.r_[whole, part[(text[part[:, None] + np.arange(n)] == template).all(axis=1)]]
+    yield from ((n, int(d), int(d) + n - 1) for d in whole)
+    rest = np.setdiff1d(diagonals, whole)
+    for k in range(0, len(rest), step := max(1, (1 << 20) // (n * (2 * BAND + 1)))):
+        yield from zip(*(x.tolist() for x in align_all(template, text, rest[k : k + step])), strict=True)
 
 
 def match_words(text: np.ndarray, grams: np.ndarray, index: TemplateIndex, coverage: float) -> list[tuple[int, int, int, int]]:
@@ -152,27 +236,18 @@ def match_words(text: np.ndarray, grams: np.ndarray, index: TemplateIndex, cover
         if good:
             for t, place in index.posts[int(grams[h])]:
                 regions[t].append(h - place)
-    found = []
+    found = set()
     for t, diagonals in regions.items():
         template = index.words[t]
-        diagonals = sorted(set(diagonals))
-        groups = [[diagonals[0]]]
-        for d in diagonals[1:]:
-            if d - groups[-1][-1] <= BAND // 2:
-                groups[-1].append(d)
-            else:
-                groups.append([d])
-        for group in groups:
-            middle = group[len(group) // 2]
-            matched, first, last = align(template, text, middle)
-            if matched >= (coverage if len(template) > SHORT else 1.0) * len(template):
-                found.append((t, first, last, matched))
-    # Of overlapping matches the one with the most matched words stays.
+        least = (coverage if len(template) > SHORT else 1.0) * len(template)
+        found |= {(t, first, last, matched) for matched, first, last in _aligned(template, text, np.unique(diagonals)) if matched >= least}
+    # Of overlapping matches the one with the most matched words stays, then the one in the fewest text words.
     out = []
-    for own in sorted(found, key=lambda x: (-x[3], x[1], x[0])):
-        if all(own[2] < x[1] or own[1] > x[2] for x in out):
-            out.append(own)
-    return sorted(out, key=lambda x: (x[1], x[0]))
+    for own in sorted(found, key=lambda x: (-x[3], x[2] - x[1], x[1], x[0])):
+        at = bisect.bisect_left(out, (own[1],))
+        if (not at or out[at - 1][2] < own[1]) and (at == len(out) or out[at][0] > own[2]):
+            out.insert(at, (own[1], own[0], own[2], own[3]))
+    return [(t, first, last, matched) for first, t, last, matched in out]
 
 
 def _scan(templates: dict[str, str], coverage: float):
@@ -189,10 +264,12 @@ def _scan(templates: dict[str, str], coverage: float):
                     a, b = first[r], first[r + 1]
                     if b - a < GRAM:
                         continue
-                    for t, w0, w1, matched in match_words(hashes[a:b], grams[a : b - GRAM + 1], index, coverage):
-                        at = offsets[r]
-                        points = [len(data[at:x].tobytes().decode("utf-8", "replace")) for x in (starts[a + w0], ends[a + w1])]
-                        rows.append((low + int(r), index.names[t], points[0], points[1], matched, len(index.words[t])))
+                    passages = match_words(hashes[a:b], grams[a : b - GRAM + 1], index, coverage)
+                    # Code points before each byte of the text: those that begin one.
+                    points = np.r_[0, np.cumsum((data[offsets[r] : offsets[r + 1]] & 0xC0) != 0x80)] if passages else ()
+                    for t, w0, w1, matched in passages:
+                        span = (int(points[x - offsets[r]]) for x in (starts[a + w0], ends[a + w1]))
+                        rows.append((low + int(r), index.names[t], *span, matched, len(index.words[t])))
             column = list(zip(*rows, strict=True)) if rows else [[]] * 6
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id").take(pa.array(column[0], pa.int64())), pa.array(column[1], pa.string()), *(pa.array(c, pa.int64()) for c in column[2:])], ["id", "license", "start", "end", "matched_words", "template_words"]
@@ -204,8 +281,8 @@ def _scan(templates: dict[str, str], coverage: float):
 def find_licenses(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: dict[str, str] | None = None, coverage: float = COVERAGE) -> DataFrame:
     """License passages: id_col, license, start, end (code points, end exclusive), matched_words, template_words, coverage.
 
-    One row per passage; texts without one, null and empty texts have no row. Of overlapping passages the one with the
-    most matched words stays, then the first template. Repeated rows and null ids are rows like others; an empty table
+    One row per passage, however often a text holds a template; texts without one, null and empty texts have no row. Of
+    overlapping passages the one with the most matched words stays, then the shortest, then the first template. Repeated rows and null ids are rows like others; an empty table
     gives no rows. Other columns play no part.
     """
     bound_batches(df.sparkSession)

@@ -625,6 +625,52 @@ def test_banded_alignment_is_longest_common_subsequence():
         assert matched == longest_common(a, b) and (not matched or 0 <= first <= last < len(b))
 
 
+def test_repeated_lines_are_all_reported(spark):
+    line = licenses.TEMPLATES["MIT-line"]
+    rows = [(1, "\n".join([line] * 40), "s"), (2, f"é {line} x {line}\n{line}", "s"), (3, " ".join([licenses.TEMPLATES["MIT"]] * 3), "s")]
+    got = defaultdict(list)
+    for r in licenses.find_licenses(docs(spark, rows)).orderBy("start").collect():
+        got[r.doc_id].append((r.license, rows[r.doc_id - 1][1][r.start : r.end]))
+    assert [len(got[k]) for k in (1, 2, 3)] == [40, 3, 3] and {t for _, t in got[1]} == {t for _, t in got[2]} == {line[:-1]} and {n for n, _ in got[3]} == {"MIT"}
+
+
+def test_candidates_lose_no_passage():
+    """Index, winnowing and alignment against aligning every template everywhere, on texts with changed passages."""
+    rng, index = random.Random(14), licenses.TemplateIndex(licenses.TEMPLATES)
+    index.words = [w[:80] for w in index.words]  # shorter templates: the plain version aligns them at every word
+    held = missed = 0
+    for _ in range(25):
+        text = []
+        for _ in range(3):
+            text += [rng.getrandbits(63) for _ in range(rng.randint(0, 40))]
+            own = list(map(int, index.words[rng.randrange(len(index.words))]))
+            for _ in range(rng.randint(0, len(own) // 6)):
+                at = rng.randrange(len(own))
+                own[at : at + 1] = rng.choice([[], [rng.getrandbits(63)], [own[at], rng.getrandbits(63)]])
+            text += own
+        words = np.array(text, np.uint64)
+        got = licenses.match_words(words, licenses.shingle_hashes(words, licenses.GRAM), index, licenses.COVERAGE)
+        taken = {x for _, a, b, _ in got for x in range(a, b + 1)}
+        for t, template in enumerate(index.words):
+            matched, first, last = licenses.align_all(template, words, np.arange(-5, len(words)))
+            best = int(matched.argmax())
+            if matched[best] >= (licenses.COVERAGE if len(template) > licenses.SHORT else 1) * len(template):
+                held += 1
+                missed += not taken & set(range(int(first[best]), int(last[best]) + 1))
+    assert held >= 50 and missed == 0
+
+
+def test_licenses_of_very_many_passages_are_close_to_linear():
+    index, took = licenses.TemplateIndex(licenses.TEMPLATES), {}
+    line = index.words[list(licenses.TEMPLATES).index("Apache-2.0-line")]
+    for n in (200, 4000, 8000):
+        words = np.concatenate([np.r_[line, np.array([k], np.uint64)] for k in range(n)])
+        began = time.perf_counter()
+        assert len(licenses.match_words(words, licenses.shingle_hashes(words, licenses.GRAM), index, licenses.COVERAGE)) == n
+        took[n] = time.perf_counter() - began
+    assert took[8000] <= 2.5 * took[4000] + 0.5
+
+
 # ------------------------------------------------------------------ 10 mixing
 
 
