@@ -6,8 +6,9 @@ punctuation run itself, "same as the piece before"). The score of a text is the
 product: the weights of its n-grams, averaged over each kind, so that long and short texts compare.
 
 The model is fitted on a bounded sample of labelled rows, MAX_TRAIN of them in the order of a seeded hash of the id,
-by FTRL-Proximal, one pass at a time over rows in that order. Training is one small task over features of bounded
-number; the weights (2 ** BITS numbers, 1 MB) are all that is ever broadcast. Scoring reads every whole text once and
+by FTRL-Proximal, one pass at a time over rows in that order. A pass is one task that streams the sample's features from a
+sort (which spills) and holds no more than a batch of them; the state between passes (2 ** BITS pairs of numbers, 4 MB)
+and the weights (1 MB) are all that is ever broadcast. Scoring reads every whole text once and
 shuffles nothing.
 """
 
@@ -91,23 +92,24 @@ def example(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(([0], index)), np.concatenate(([1.0], value))
 
 
-def fit(examples: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, passes: int = PASSES) -> np.ndarray:
-    """FTRL-Proximal weights after some passes over the rows, in the order given."""
-    z, n = np.zeros(1 << BITS), np.zeros(1 << BITS)
+class Ftrl:
+    """FTRL-Proximal: z and n of every feature, updated by one row at a time."""
 
-    def weights(at):
-        zs = z[at]
-        return np.where(np.abs(zs) <= L1, 0.0, -(zs - np.sign(zs) * L1) / ((BETA + np.sqrt(n[at])) / ALPHA + L2))
+    def __init__(self, z: np.ndarray | None = None, n: np.ndarray | None = None):
+        self.z = np.zeros(1 << BITS) if z is None else z.copy()
+        self.n = np.zeros(1 << BITS) if n is None else n.copy()
 
-    for _ in range(passes):
-        for (at, value), label in zip(examples, labels, strict=True):
-            w = weights(at)
-            p = 1 / (1 + np.exp(-np.clip(w @ value, -35, 35)))
-            g = (p - label) * value
-            n0 = n[at]
-            z[at] += g - (np.sqrt(n0 + g * g) - np.sqrt(n0)) / ALPHA * w
-            n[at] = n0 + g * g
-    return weights(slice(None)).astype(np.float32)
+    def weights(self, at=slice(None)) -> np.ndarray:
+        z = self.z[at]
+        return np.where(np.abs(z) <= L1, 0.0, -(z - np.sign(z) * L1) / ((BETA + np.sqrt(self.n[at])) / ALPHA + L2))
+
+    def update(self, at: np.ndarray, value: np.ndarray, label: int) -> None:
+        w = self.weights(at)
+        p = 1 / (1 + np.exp(-np.clip(w @ value, -35, 35)))
+        g = (p - label) * value
+        n0 = self.n[at]
+        self.z[at] += g - (np.sqrt(n0 + g * g) - np.sqrt(n0)) / ALPHA * w
+        self.n[at] = n0 + g * g
 
 
 def score(column: pa.Array, weights: np.ndarray) -> np.ndarray:
@@ -141,12 +143,19 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    rows = [r for batch in batches for r in batch.to_pylist()]
-    rows.sort(key=lambda r: (r["place"], r["at"], r["value"]))
-    examples = [(np.frombuffer(r["at"], "<i4"), np.frombuffer(r["value"], "<f4").astype(float)) for r in rows]
-    weights = fit(examples, np.array([r["label"] for r in rows], np.int64))
-    yield pa.RecordBatch.from_arrays([pa.array([weights.tobytes()], pa.binary())], ["weights"])
+def _one_pass(state):
+    """One pass over the ordered rows of one task: state in, state out; no more than a batch of rows is held."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, rows = Ftrl(*(np.frombuffer(x) for x in state.value)) if state else Ftrl(), 0
+        for batch in batches:
+            for label, at, value in zip(*(batch.column(c) for c in ("label", "at", "value")), strict=True):
+                model.update(np.frombuffer(at.as_py(), "<i4"), np.frombuffer(value.as_py(), "<f4").astype(float), label.as_py())
+                rows += 1
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array([model.z.tobytes()], pa.binary()), pa.array([model.n.tobytes()], pa.binary())], ["z", "n"])
+
+    return run
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", max_rows: int = MAX_TRAIN) -> np.ndarray:
@@ -162,9 +171,15 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id").select("place", "label", "text")
     scratch = Scratch(docs.sparkSession, "quality")
     features = scratch.save(rows.mapInArrow(_features, "place long, label int, at binary, value binary"), "features")
-    model = scratch.save(features.repartition(1).mapInArrow(_train, "weights binary"), "model").collect()
+    ordered = features.repartition(1).sortWithinPartitions("place", "at", "value").select("label", "at", "value")
+    state = None
+    for _ in range(PASSES):
+        done = ordered.mapInArrow(_one_pass(state), "z binary, n binary").collect()  # one row of 4 MB
+        if not done:
+            break
+        state = docs.sparkSession.sparkContext.broadcast((bytes(done[0]["z"]), bytes(done[0]["n"])))
     scratch.drop(features)
-    return np.frombuffer(model[0]["weights"], np.float32) if model else np.zeros(1 << BITS, np.float32)
+    return Ftrl(*(np.frombuffer(x) for x in state.value)).weights().astype(np.float32) if state else np.zeros(1 << BITS, np.float32)
 
 
 def score_quality(df: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:

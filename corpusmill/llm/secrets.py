@@ -3,9 +3,10 @@
 A candidate is a long unbroken string that is assigned, passed or quoted right behind a sensitive name. Its novelty is
 the number of bytes by which it makes a zstandard frame longer, per character: the compressor is primed with the
 dictionary of identifiers below, then sees the surrounding text, with and without the candidate. Names built from known
-words, repeats of surrounding text and placeholders cost few bytes; random keys cost about one byte a character. Other
-occurrences of the candidate are blanked out of the text around it: a key that stands twice is no less a key. Candidates
-that stay incompressible are reported as kind "novel", wherever else the text holds them too.
+words, repeats of surrounding text and placeholders cost few bytes, or fewer than their characters in random order would;
+random keys cost about one byte a character in any order. Other occurrences of the candidate are blanked out of the text
+around it: a key that stands twice is no less a key. Candidates that stay incompressible are reported as kind "novel",
+wherever else the text holds them too.
 
 Texts are scanned in Python where they lie: no shuffle, and one pass.
 """
@@ -13,6 +14,7 @@ Texts are scanned in Python where they lie: no shuffle, and one pass.
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 from collections.abc import Iterator
 
@@ -43,6 +45,9 @@ SENSITIVE_WORDS = ("pass", "pwd", "secret", "token", "key", "auth", "credential"
 #: Text on either side that a candidate is measured against, and novelty (bytes a character) from which it is reported.
 CONTEXT = 256
 NOVELTY = 0.72
+#: A candidate must also cost this share of what its own characters cost in seeded random orders (their mean): in a random key
+#: their order tells nothing, in a name it does.
+SHUFFLED, SHUFFLES = 0.97, 3
 
 # Identifiers of everyday code, the dictionary that the compressor is primed with.
 IDENTIFIERS = (
@@ -63,7 +68,9 @@ _DICTIONARY = None
 def _compressor() -> zstandard.ZstdCompressor:
     global _DICTIONARY
     if _DICTIONARY is None:
-        data = zstandard.ZstdCompressionDict(IDENTIFIERS.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        # As written in constants and in class names too: the least likely form first, as near matches are cheapest.
+        forms = " ".join((IDENTIFIERS.title(), IDENTIFIERS.upper(), IDENTIFIERS))
+        data = zstandard.ZstdCompressionDict(forms.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         _DICTIONARY = zstandard.ZstdCompressor(level=19, dict_data=data, write_content_size=False, write_checksum=False, write_dict_id=False)
     return _DICTIONARY
 
@@ -75,6 +82,15 @@ def novelty(candidate: str, before: str, after: str) -> float:
     return max(0, len(compress(around + own)) - len(compress(around))) / len(own)
 
 
+def is_novel(candidate: str, before: str, after: str, least: float = NOVELTY) -> bool:
+    """Whether a candidate is as incompressible as asked, and about as much as its characters in random order."""
+    own = novelty(candidate, before, after)
+    if own < least:
+        return False
+    shuffled = ("".join(random.Random(k).sample(candidate, len(candidate))) for k in range(SHUFFLES))
+    return own >= SHUFFLED * sum(novelty(x, before, after) for x in shuffled) / SHUFFLES
+
+
 def base_spans(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) of the base matches, by start, then kind as listed."""
     low = text.lower()  # only a filter; what it says about characters beyond ASCII doesn't matter
@@ -108,7 +124,7 @@ def novel_spans(text: str, base: list[tuple[int, int, str]], least: float = NOVE
         gap = " " * len(own)  # as long, so that the context's bounds stay where they are
         before = text[max(0, s - CONTEXT - len(own)) : s].replace(own, gap)[-CONTEXT:]
         after = text[e : e + CONTEXT + len(own)].replace(own, gap)[:CONTEXT]
-        if novelty(own, before, after) >= least:
+        if is_novel(own, before, after, least):
             seen.add(own)
             found += [(s, e, "novel"), *((a, a + len(own), "novel") for a in _places(text, own))]
     # Of overlapping spans the first stays, and the longest of those that start together.

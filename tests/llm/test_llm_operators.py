@@ -81,6 +81,54 @@ def test_quality_is_learnt(spark):
     assert np.allclose(shuffled, weights)
 
 
+def test_ftrl_and_scores_against_plain_python(spark):
+    """Training by dictionaries, one feature at a time, and scores summed one n-gram at a time."""
+    rng = random.Random(15)
+    rows = [(k, prose(rng.choice([0, 1, 5, 30]), rng).title() if k % 3 else prose(8, rng) + " 12, A!! a a", "s") for k in range(60)] + [(90, None, "s"), (91, "", "s")]
+    labels = [(k, int(k % 3 > 0)) for k in range(60)] + [(3, 1), (3, 1), (4, 0)]
+    frame = docs(spark, rows)
+    got = quality.train(frame, spark.createDataFrame(labels, "doc_id long, quality int"))
+
+    def features(text):
+        grams, _ = quality.ngrams(pa.array([text or ""]))
+        counts = Counter(grams.reshape(-1).tolist())
+        return {0: 1.0} | {k: float(np.float32(c * (quality.SCALE / (grams.shape[1] + quality.PRIOR) / len(grams)))) for k, c in counts.items()}, grams.shape[1]
+
+    votes, text_of = defaultdict(list), {r[0]: r[1] for r in rows}
+    for k, q in labels:
+        if zlib.crc32(str(k).encode()) % 4 != 2:
+            votes[k].append(q)
+    order = [r.id for r in spark.createDataFrame([(k,) for k in votes], "id long").orderBy(F.xxhash64(F.lit(quality.SEED), "id")).collect()]
+    z, n = defaultdict(float), defaultdict(float)
+    weight = lambda k: 0.0 if abs(z[k]) <= quality.L1 else -(z[k] - np.sign(z[k]) * quality.L1) / ((quality.BETA + sqrt(n[k])) / quality.ALPHA + quality.L2)
+    for _ in range(quality.PASSES):
+        for k in order:
+            own, _ = features(text_of[k])
+            p = 1 / (1 + np.exp(-sum(weight(f) * v for f, v in own.items())))
+            label = int(sum(votes[k]) / len(votes[k]) > 0.5)
+            for f, v in own.items():
+                w, g = weight(f), (p - label) * v
+                z[f] += g - (sqrt(n[f] + g * g) - sqrt(n[f])) / quality.ALPHA * w
+                n[f] += g * g
+    plain = np.zeros(1 << quality.BITS)
+    for f in list(z):
+        plain[f] = weight(f)
+    assert np.count_nonzero(plain) > 100 and np.allclose(got, plain, atol=1e-5)
+    for r in quality.score_quality(frame, got).collect():
+        own, _ = features(r.text)
+        assert r.score == pytest.approx(1 / (1 + np.exp(-sum(float(got[f]) * v for f, v in own.items()))), abs=1e-5) and r.predicted == (r.score >= quality.THRESHOLD)
+
+
+def test_op1_on_held_out_labels(spark):
+    """The query on supplied tables: every document once, and held-out documents as they are labelled."""
+    sf = "/root/testdata/sf0.01"
+    got = {r.doc_id: r for r in quality.op1_quality(spark, sf).collect()}
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    assert len(got) == spark.read.parquet(f"{sf}/documents.parquet").count() and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) and r.held_out == (zlib.crc32(str(k).encode()) % 4 == 2) for k, r in got.items())
+    held = [k for k in labels if k in got and got[k].held_out]
+    assert len(held) >= 80 and sum(got[k].predicted == labels[k] for k in held) >= 0.97 * len(held)
+
+
 def test_quality_awkward(spark):
     weights = np.zeros(1 << quality.BITS, np.float32)
     weights[0] = 1.0
@@ -489,6 +537,38 @@ def test_pii_of_very_many_identifiers_is_close_to_linear(spark):
     assert took[16000] <= 2.5 * took[8000] + 1
 
 
+def test_pii_recall_and_precision_on_planted_formats(spark):
+    """Identifiers in formats that no base pattern has, behind words that base identifiers taught, and decoys elsewhere."""
+    rng = random.Random(16)
+    digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    card = lambda: next(c for c in (digits(16) for _ in iter(int, 1)) if luhn(c))
+    seeds = {"phone": lambda: f"rufnummer +49 {digits(3)} {digits(7)}", "card": lambda: f"kartennummer {card()}", "email": lambda: f"postfach: u{digits(4)}@firma.de", "ip": lambda: f"rechner 10.{rng.randrange(256)}.{rng.randrange(256)}.7"}
+    unseen = {"phone": lambda: digits(3) + "/" + digits(7), "card": lambda: digits(4) + "x" + digits(8), "email": lambda: f"u{digits(4)}@firma", "ip": lambda: f"300.{digits(3)}.9.1"}
+    rows, want = [], {}
+    for k in range(320):
+        kind = list(seeds)[k % 4]
+        rows.append((k, f"{prose(5, rng)} {seeds[kind]()} {prose(6, rng)}", "s"))
+    for k in range(320, 400):
+        kind = list(seeds)[k % 4]
+        own, word = unseen[kind](), seeds[kind]().split()[0]
+        head = f"{prose(4, rng)} {word} "
+        rows.append((k, f"{head}{own} {prose(4, rng)} seite {digits(6)} am 2024-{digits(2)}-{digits(2)} {prose(3, rng)}", "s"))
+        want[k] = (kind, len(head), len(head) + len(own))
+    found = {r.doc_id: [(x.kind, x.s, x.e) for x in r.found] for r in pii.find_pii(docs(spark, rows)).collect()}
+    hits = sum(want[k] in found[k] for k in want)
+    reported = sum(len(x) for x in found.values())
+    assert hits >= 0.9 * len(want) and hits >= 0.95 * reported
+
+
+def test_op6_digests_follow_the_spans(spark, tmp_path):
+    rows = [(i, t) for i, t in enumerate(TRICKY[:6] + TRICKY[7:])]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    for r in pii.op6_pii(spark, str(tmp_path)).collect():
+        base = plain_pii(dict(rows)[r.doc_id] or "")
+        line = ",".join(f"{k}:{s}:{e}" for k, s, e in base)
+        assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == tuple(sum(x[0] == k for x in base) for k in pii.KINDS) and r.base_sha256 == hashlib.sha256(line.encode()).hexdigest() and r.spans == line and r.n_found == 0
+
+
 def test_pii_awkward(spark):
     assert pii.find_pii(docs(spark, AWKWARD)).count() == len(AWKWARD)
     assert pii.find_pii(docs(spark, AWKWARD).limit(0)).count() == 0
@@ -540,6 +620,33 @@ def test_secrets_of_aligned_assignments():
     assert time.perf_counter() - began < 10
 
 
+def test_secret_recall_and_precision_on_planted_keys():
+    """Random keys behind sensitive names that no base pattern reads, and names, words and numbers in the same places."""
+    rng = random.Random(17)
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    names = ["private_key = ", "signing-key: ", "export DB_PWD=", 'credentials("', "Authorization: Bearer ", "encryption_key := ", "connection_string => "]
+    plain = ["your_password_here", "process.env.DATABASE", "changeme_changeme_1", "get_private_key_From_file", "ConfigurationSettings.Default", "0000000000000000a", "default_example_value1"]
+    found = missed = wrong = 0
+    for _ in range(200):
+        key = "".join(rng.choice(alphabet) for _ in range(rng.choice([24, 32, 40])))
+        text = f"{prose(20, rng)}\n{rng.choice(names)}{key}\n{rng.choice(names)}{rng.choice(plain)}\n{prose(20, rng)}"
+        spans = [text[s:e] for s, e, _ in secrets.novel_spans(text, secrets.base_spans(text))]
+        found, missed, wrong = found + (key in spans), missed + (key not in spans), wrong + sum(x != key for x in spans)
+    assert found >= 0.95 * (found + missed) and wrong <= 0.05 * found
+
+
+def test_op7_digests_follow_the_spans(spark, tmp_path):
+    secret = "k9Qw3xLm7RtZ2vYb8NcD5sFhJ4gPq6Wn1XyT0aZe"
+    rows = [(0, None), (1, ""), (2, f"é password = '{secret}' AKIA{'A' * 16}deadbeefdeadbeef"), (3, f"private_key = {secret}\ntoken: abcdefabcdefabcdef")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r for r in secrets.op7_secrets(spark, str(tmp_path)).collect()}
+    for k, text in rows:
+        base = plain_secrets(text or "")
+        line = ",".join(f"{kind}:{s}:{e}" for s, e, kind in base)
+        assert (got[k].n_assign, got[k].n_access, got[k].n_hex) == tuple(sum(x[2] == kind for x in base) for kind in secrets.KINDS) and got[k].base_sha256 == hashlib.sha256(line.encode()).hexdigest()
+        assert got[k].spans == line if k < 3 else got[k].spans.split(",") == [f"novel:14:{14 + len(secret)}", *line.split(",")] and got[k].n_novel == 1
+
+
 def test_secrets_awkward(spark):
     assert secrets.find_secrets(docs(spark, AWKWARD)).count() == len(AWKWARD)
     assert secrets.find_secrets(docs(spark, AWKWARD).limit(0)).count() == 0
