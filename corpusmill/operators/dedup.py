@@ -88,43 +88,37 @@ def near_marks(df: DataFrame, key: str = "doc_id", source: str = "source", text_
     """(source, key, is_near_duplicate) by the greedy rule: in key order within a source, a document is dropped if one of
     its bands collides with a document kept before it. There is no similarity check, and dropped documents drop nobody.
 
-    All documents are decided in rounds over band buckets. In each round a bucket's first kept and first undecided key
-    are minima; a document behind a kept one is dropped, and one behind neither is kept. The first undecided document is
-    always decided, so rounds end. Work a round is rows times bands, whatever the size of a bucket.
+    Documents are decided in rounds over the buckets of those still open. The first open document of a bucket is a minimum;
+    one that is first in all its buckets is kept, and what shares a bucket with it goes. Documents kept in earlier rounds
+    play no part any more: all that they drop has gone. The first open document is always decided, so rounds end, and each
+    works on the rows of open documents alone, whatever the size of a bucket. What goes is written by round.
     """
     tables = Tables(df.sparkSession, "near")
     docs = df.select(F.col(source).alias("source"), F.col(key).alias("ord"), normalised(text_or_empty(text_col)).alias("norm"))
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
     banded = docs.mapInArrow(_banded, f"source {kinds['source']}, ord {kinds['ord']}, bands array<long>")
-    rows = tables.save(banded.select("source", "ord", F.posexplode("bands").alias("band", "hash")))
+    # A bucket is a source and a band's hash (which the band is part of); a null source is one of its own.
+    rows = tables.save(banded.select("source", "ord", F.explode("bands").alias("hash")).withColumn("bucket", F.xxhash64(F.coalesce(F.col("source").cast("string"), F.lit("")), F.col("source").isNull(), "hash")))
     # Joins by bucket are between stored tables, so that a bucket with very many documents can be split.
-    shared = tables.save(rows.groupBy("source", "band", "hash").agg(F.count("*").alias("size")).where("size > 1").withColumnRenamed("source", "bucket_source"))
-    members = tables.save(
-        rows.alias("r").join(shared.alias("s"), (F.col("r.band") == F.col("s.band")) & (F.col("r.hash") == F.col("s.hash")) & F.col("r.source").eqNullSafe(F.col("s.bucket_source"))).select("r.*")
-    )
-    open_, kept, dropped = members, members.select("source", "ord").limit(0), []
+    shared = tables.save(rows.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1").select("bucket"))
+    open_ = tables.save(rows.join(shared, "bucket").select("source", "ord", "bucket"))
+    same = lambda a, b: F.col(f"{a}.source").eqNullSafe(F.col(f"{b}.source")) & (F.col(f"{a}.ord") == F.col(f"{b}.ord"))
+    gone, turn = tables.folder(), 0
     while not open_.isEmpty():
-        state = open_.select("source", "ord", "band", "hash", F.lit(False).alias("is_kept"))
-        if kept is not None:
-            known = members.alias("m").join(kept.select(F.col("source").alias("ks"), F.col("ord").alias("ko")), F.col("source").eqNullSafe(F.col("ks")) & (F.col("ord") == F.col("ko")), "left_semi")
-            state = state.unionByName(known.select("source", "ord", "band", "hash", F.lit(True).alias("is_kept")))
-        first = state.groupBy("source", "band", "hash").agg(F.min(F.when(F.col("is_kept"), F.col("ord"))).alias("first_kept"), F.min(F.when(~F.col("is_kept"), F.col("ord"))).alias("first_open"))
-        first = tables.save(first.withColumnRenamed("source", "fs"))
-        seen = open_.alias("o").join(first.alias("f"), (F.col("o.band") == F.col("f.band")) & (F.col("o.hash") == F.col("f.hash")) & F.col("o.source").eqNullSafe(F.col("f.fs")))
-        verdict = seen.groupBy("o.source", "o.ord").agg(
-            F.coalesce(F.max(F.col("first_kept") < F.col("o.ord")), F.lit(False)).alias("behind_kept"), F.coalesce(F.max(F.col("first_open") < F.col("o.ord")), F.lit(False)).alias("behind_open")
-        )
-        verdict = tables.save(verdict)
-        gone = verdict.where("behind_kept").select("source", "ord")
-        dropped.append(gone)
-        kept = tables.save(kept.unionByName(verdict.where("NOT behind_kept AND NOT behind_open").select("source", "ord")))
-        still = verdict.where("NOT behind_kept AND behind_open").select(F.col("source").alias("vs"), F.col("ord").alias("vo"))
-        open_ = tables.save(open_.join(still, F.col("source").eqNullSafe(F.col("vs")) & (F.col("ord") == F.col("vo")), "left_semi"))
-    gone = kept.limit(0)
-    for part in dropped:
-        gone = gone.unionByName(part)
-    gone = gone.select(F.col("source").alias("gs"), F.col("ord").alias("go"))
-    out = docs.select("source", "ord").join(gone, F.col("source").eqNullSafe(F.col("gs")) & (F.col("ord") == F.col("go")), "left")
+        first = tables.save(open_.groupBy("bucket").agg(F.min("ord").alias("first")))
+        seen = open_.join(first, "bucket").groupBy("source", "ord").agg(F.min(F.col("ord") == F.col("first")).alias("leads"))
+        kept = tables.save(seen.where("leads").select("source", "ord"))
+        heads = tables.save(open_.alias("o").join(kept.alias("k"), same("o", "k"), "left_semi").select("bucket", F.col("ord").alias("head")))
+        behind = open_.join(heads, "bucket").where("ord > head").select("source", "ord").distinct()
+        behind.write.parquet(f"{gone}/turn={turn}")
+        dropped = df.sparkSession.read.schema(behind.schema).parquet(f"{gone}/turn={turn}")
+        decided = kept.unionByName(dropped)
+        open_, turn = tables.save(open_.alias("o").join(decided.alias("d"), same("o", "d"), "left_anti")), turn + 1
+    out = docs.select("source", "ord")
+    if not turn:
+        return out.select(F.col("source").alias(source), F.col("ord").alias(key), F.lit(False).alias("is_near_duplicate"))
+    dropped = df.sparkSession.read.schema(out.schema).parquet(f"{gone}/turn=*").select(F.col("source").alias("gs"), F.col("ord").alias("go"))
+    out = out.join(dropped, F.col("source").eqNullSafe(F.col("gs")) & (F.col("ord") == F.col("go")), "left")
     return out.select(F.col("source").alias(source), F.col("ord").alias(key), F.col("go").isNotNull().alias("is_near_duplicate"))
 
 

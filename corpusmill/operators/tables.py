@@ -26,6 +26,11 @@ class Tables:
             root = _local_roots[application]
         self.spark, self.path, self.n = spark, f"{root}/{label}-{uuid.uuid4().hex}", 0
 
+    def folder(self) -> str:
+        """A path of its own, for a table that is written part by part."""
+        self.n += 1
+        return f"{self.path}/{self.n}"
+
     def save(self, df: DataFrame) -> DataFrame:
         self.n += 1
         df.write.parquet(f"{self.path}/{self.n}")

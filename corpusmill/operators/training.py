@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.config import FormatConfig
+from corpusmill.operators.tables import Tables
 
 
 def document_id(source: Column, key: Column) -> Column:
@@ -75,9 +76,18 @@ def answer_of(text: Column) -> Column:
 
 
 def pack_in_order(df: DataFrame, length: str, *order: str, group: str = "source", capacity: int = 2048) -> DataFrame:
-    """A running sum of lengths within a group, cut every `capacity` tokens: sequence (from 0) of each row's last token."""
-    running = F.sum(length).over(Window.partitionBy(group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
-    return df.withColumn("sequence", F.floor((running - 1) / capacity))
+    """A running sum of lengths within a group, cut every `capacity` tokens: sequence (from 0) of each row's last token.
+
+    Rows are ranged by group and order and stored; sums run within a range, and what lies before a range is the sum of the
+    group's ranges before it. So no task sees a whole group, however large."""
+    ranged = df.repartitionByRange(group, *order).withColumn("_part", F.spark_partition_id())
+    placed = Tables(df.sparkSession, "pack").save(ranged)
+    own = Window.partitionBy("_part", group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    earlier = Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = placed.groupBy(group, "_part").agg(F.sum(length).alias("_sum")).withColumn("_before", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)))
+    sums = sums.select(F.col(group).alias("_group"), F.col("_part").alias("_p"), "_before")  # a few rows for each range
+    joined = placed.withColumn("_running", F.sum(length).over(own)).join(sums, (F.col("_part") == F.col("_p")) & F.col(group).eqNullSafe(F.col("_group")))
+    return joined.withColumn("sequence", F.floor((F.col("_before") + F.col("_running") - 1) / capacity)).drop("_part", "_p", "_group", "_before", "_running")
 
 
 def export_name(title: Column, key: Column) -> Column:
