@@ -319,6 +319,13 @@ def test_lines_against_plain_python(spark):
     assert line_dedup.dedup_lines(docs(spark, rows).limit(0)).count() == 0
 
 
+def test_lines_of_very_many_hosts_are_joined_by_shuffles(spark, monkeypatch):
+    rows = [(k, f"head {k % 3}\nown {k}\nfoot", f"h{k % 3}") for k in range(60)]
+    want = sorted((r.doc_id, r.text) for r in line_dedup.dedup_lines(docs(spark, rows), "source").collect())
+    monkeypatch.setattr(line_dedup, "BROADCAST_LINES", 0)
+    assert sorted((r.doc_id, r.text) for r in line_dedup.dedup_lines(docs(spark, rows), "source").collect()) == want and want[0][1] == "own 0"
+
+
 # ------------------------------------------------------------------ 5 near duplicates
 
 
@@ -447,6 +454,16 @@ def test_near_dedup_loses_no_link_in_related_families(spark, size, seed):
     assert got == {i: c for i, (_, c) in want.items()} and 1 < len(set(got.values())) < size
 
 
+def test_near_dedup_without_the_filter(spark, monkeypatch):
+    """Beyond the size of the Bloom filter a semi-join does the same."""
+    rng = random.Random(31)
+    base = [prose(50, rng).split() for _ in range(6)]
+    rows = [(k, " ".join([*base[k % 6][: 50 - k % 4], *prose(k % 4, rng).split()]), "s") for k in range(60)]
+    monkeypatch.setattr(near_dedup, "BLOOM_BITS", 1)
+    got = {r.doc_id: r.component_id for r in near_dedup.near_dedup(docs(spark, rows)).collect()}
+    assert got == {i: c for i, (_, c) in plain_components(rows, 5).items()}
+
+
 def test_near_dedup_empty(spark):
     assert near_dedup.near_dedup(docs(spark, AWKWARD).limit(0)).count() == 0
 
