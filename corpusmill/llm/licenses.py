@@ -203,8 +203,9 @@ def align(template: np.ndarray, text: np.ndarray, diagonal: int, band: int = BAN
     return int(matched[0]), int(first[0]), int(last[0])
 
 
-def _aligned(template: np.ndarray, text: np.ndarray, diagonals: np.ndarray) -> Iterator[tuple[int, int, int]]:
-    """(matched, first, last) for each diagonal; what matches word for word first, without a table."""
+def _aligned(template: np.ndarray, text: np.ndarray, diagonals: np.ndarray, least: float) -> Iterator[tuple[int, int, int]]:
+    """(matched, first, last) of the diagonals that may reach `least` matched words. What matches word for word needs no
+    table, and no more words can match than the text around a diagonal has of the template's."""
     n = len(template)
     fits = diagonals[(diagonals >= 0) & (diagonals + n <= len(text))]
     whole = np.zeros(0, np.int64)
@@ -212,7 +213,8 @@ def _aligned(template: np.ndarray, text: np.ndarray, diagonals: np.ndarray) -> I
         part = fits[k : k + step]
         whole = np.r_[whole, part[(text[part[:, None] + np.arange(n)] == template).all(axis=1)]]
     yield from ((n, int(d), int(d) + n - 1) for d in whole)
-    rest = np.setdiff1d(diagonals, whole)
+    around = ((d, text[max(0, d - BAND) : max(0, d + n + BAND)]) for d in np.setdiff1d(diagonals, whole).tolist())
+    rest = np.array([d for d, near in around if len(near) >= least and np.isin(template, near).sum() >= least], np.int64)
     for k in range(0, len(rest), step := max(1, (1 << 20) // (n * (2 * BAND + 1)))):
         yield from zip(*(x.tolist() for x in align_all(template, text, rest[k : k + step])), strict=True)
 
@@ -240,7 +242,7 @@ def match_words(text: np.ndarray, grams: np.ndarray, index: TemplateIndex, cover
     for t, diagonals in regions.items():
         template = index.words[t]
         least = (coverage if len(template) > SHORT else 1.0) * len(template)
-        found |= {(t, first, last, matched) for matched, first, last in _aligned(template, text, np.unique(diagonals)) if matched >= least}
+        found |= {(t, first, last, matched) for matched, first, last in _aligned(template, text, np.unique(diagonals), least) if matched >= least}
     # Of overlapping matches the one with the most matched words stays, then the one in the fewest text words.
     out = []
     for own in sorted(found, key=lambda x: (-x[3], x[2] - x[1], x[1], x[0])):
