@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,6 +51,26 @@ def bound_batches(spark: SparkSession) -> None:
         spark.conf.set(name, str(BATCH_BYTES))
 
 
+def give_back() -> None:
+    """Freed memory of this Python worker goes back to the system. Workers outlive their tasks and share an executor's memory
+    limit with its JVM, and both allocators keep what was freed."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library than glibc
+        pass
+
+
+def giving_back(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """run over the batches of a task, and then give_back."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+
+    return whole
+
+
 #: Files of a scratch table for each core of the cluster, at most: of wide tables, and of narrow ones (a few numbers a row).
 WIDE_FILES, NARROW_FILES = 8, 2
 

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import Scratch, power_of_two, read_table
+from corpusmill.llm.common import Scratch, giving_back, power_of_two, read_table
 from corpusmill.llm.components import connected_components
 from corpusmill.llm.kernels import mix64, sequence_hash, shingle_hashes, slices, words
 
@@ -200,7 +200,7 @@ def _open_pairs(percent: int):
         if held:
             yield found(pa.Table.from_batches(held))
 
-    return run
+    return giving_back(run)
 
 
 def _near(percent: int):
@@ -213,7 +213,7 @@ def _near(percent: int):
             at = np.arange(batch.num_rows)
             yield batch.select(["u", "v"]).filter(pa.array(sketches.close(at, at + batch.num_rows, percent), pa.bool_()))
 
-    return run
+    return giving_back(run)
 
 
 def _sketch(width: int):
@@ -232,7 +232,7 @@ def _sketch(width: int):
                 columns = [part.column("id"), pa.array([len(own) for own in sets], pa.int64()), pa.array(digests, pa.binary()), bands, parities]
                 yield pa.RecordBatch.from_arrays(columns, ["id", "n", "set_key", "bands", "parity"])
 
-    return run
+    return giving_back(run)
 
 
 def _bloom_positions(hashes: np.ndarray, bits: int) -> list[np.ndarray]:
@@ -248,7 +248,7 @@ def _bloom(bits: int):
                 field[at] = True
         yield pa.RecordBatch.from_arrays([pa.array([np.packbits(field).tobytes()], pa.binary())], ["field"])
 
-    return run
+    return giving_back(run)
 
 
 def _sets_of(width: int, field, bits: int):
@@ -265,7 +265,7 @@ def _sets_of(width: int, field, bits: int):
                 sets = shingle_sets(part.column("text"), width)
                 yield pa.RecordBatch.from_arrays([part.column("id"), pa.array([own.tobytes() for own in sets], pa.binary())], ["id", "own"])
 
-    return run
+    return giving_back(run)
 
 
 def _confirmed(percent: int):
@@ -281,7 +281,7 @@ def _confirmed(percent: int):
                     good[k] = 100 * both >= percent * (len(x) + len(y) - both)
             yield batch.select(["u", "v"]).filter(pa.array(good))
 
-    return run
+    return giving_back(run)
 
 
 def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:

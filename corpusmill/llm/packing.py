@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import Scratch, power_of_two, read_table
+from corpusmill.llm.common import Scratch, give_back, power_of_two, read_table
 from corpusmill.llm.kernels import slices, words
 
 CAPACITY = 2048
@@ -35,6 +35,8 @@ END_ID = 0
 BUCKET_ROWS = 500
 #: Words and ids that a Python worker remembers (about 100 MB); it forgets all of them when either is reached.
 CACHE_WORDS, CACHE_IDS = 2_000_000, 16_000_000
+#: Words and ids that it still remembers when a task is over, at most (12 MB), and slots of an empty table.
+REST_WORDS, REST_IDS, LEAST_SLOTS = 1 << 18, 1 << 20, 1 << 12
 
 
 class WordTokens:
@@ -43,7 +45,8 @@ class WordTokens:
     That holds for tokenizers that drop white space and never merge across it; other white space than the six characters
     that texts are cut at here stays within words and is the tokenizer's to drop. Words repeat: an open-addressing table
     of 64-bit word hashes finds the ids of known words for a whole slice of texts at a time, and the tokenizer only sees
-    words that are new to this worker.
+    words that are new to this worker. The table grows with its words, and only the words learnt first, the frequent ones
+    among them, outlast a task: workers go on to other operators, beside the JVM of their executor.
     """
 
     def __init__(self, path: str, words: int = CACHE_WORDS):
@@ -52,14 +55,32 @@ class WordTokens:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
-        self.words, self.slots = words, power_of_two(2 * words)
+        self.words = words
         self._forget()
 
     def _forget(self) -> None:
-        self.keys = np.zeros(self.slots, np.uint64)
-        self.at, self.size = np.zeros(self.slots, np.uint32), np.zeros(self.slots, np.uint32)
+        self._empty(LEAST_SLOTS)
         self.ids, self.used, self.known = np.zeros(1 << 16, "<u4"), 0, 0
 
+    def _empty(self, slots: int) -> None:
+        self.slots, self.keys = slots, np.zeros(slots, np.uint64)
+        self.at, self.size = np.zeros(slots, np.uint32), np.zeros(slots, np.uint32)
+
+    def rest(self) -> None:
+        """A task is over: the words learnt first stay for the next one, and all others go."""
+        if self.known > REST_WORDS or self.used > REST_IDS:
+            old = np.flatnonzero(self.keys)
+            old = old[np.argsort(self.at[old], kind="stable")][:REST_WORDS]
+            old = old[np.cumsum(self.size[old], dtype=np.int64) <= REST_IDS]
+            keys, offsets, sizes, ids = self.keys[old], self.at[old], self.size[old], self.ids
+            self._forget()
+            if len(old):  # ids lie in the order of learning, without gaps
+                self.known, self.used = len(old), int(offsets[-1]) + int(sizes[-1])
+                self.ids = ids[: max(self.used, 1)].copy()
+                self._empty(power_of_two(max(2 * len(old), LEAST_SLOTS)))
+                self._put(keys, offsets, sizes)
+        give_back()
+
     def _slots_of(self, keys: np.ndarray) -> np.ndarray:
         """The slot of each key, or the free slot where its search ends."""
         slot = (keys & np.uint64(self.slots - 1)).astype(np.int64)
@@ -70,8 +91,27 @@ class WordTokens:
             open_ = open_[(there != keys[open_]) & (there != 0)]
         return slot
 
+    def _put(self, keys: np.ndarray, offsets: np.ndarray, sizes: np.ndarray) -> None:
+        """Distinct keys that the table doesn't have into free slots."""
+        while len(keys):  # keys that meet in a free slot: one gets it, the others search on
+            slot = self._slots_of(keys)
+            self.keys[slot] = keys
+            won = self.keys[slot] == keys
+            self.at[slot[won]], self.size[slot[won]] = offsets[won], sizes[won]
+            keys, offsets, sizes = keys[~won], offsets[~won], sizes[~won]
+
+    def _make_room(self, more: int) -> None:
+        """Two slots at least for each word, with so many more."""
+        slots = power_of_two(2 * (self.known + more))
+        if slots > self.slots:
+            old = np.flatnonzero(self.keys)
+            keys, offsets, sizes = self.keys[old], self.at[old], self.size[old]
+            self._empty(slots)
+            self._put(keys, offsets, sizes)
+
     def _learn(self, keys: np.ndarray, words: list[str]) -> None:
         """Distinct new keys and their words into the table."""
+        self._make_room(len(words))
         for low in range(0, len(words), 4096):
             found = [e.ids for e in self.encode(words[low : low + 4096], add_special_tokens=False)]
             sizes = np.fromiter(map(len, found), np.uint32, len(found))
@@ -79,14 +119,8 @@ class WordTokens:
             while self.used + len(flat) > len(self.ids):
                 self.ids = np.concatenate((self.ids, np.zeros_like(self.ids)))
             self.ids[self.used : self.used + len(flat)] = flat
-            left, offsets = keys[low : low + 4096], (self.used + np.cumsum(sizes) - sizes).astype(np.uint32)
+            self._put(keys[low : low + 4096], (self.used + np.cumsum(sizes) - sizes).astype(np.uint32), sizes)
             self.used += len(flat)
-            while len(left):  # keys that meet in a free slot: one gets it, the others search on
-                slot = self._slots_of(left)
-                self.keys[slot] = left
-                won = self.keys[slot] == left
-                self.at[slot[won]], self.size[slot[won]] = offsets[won], sizes[won]
-                left, offsets, sizes = left[~won], offsets[~won], sizes[~won]
         self.known += len(words)
 
     def __call__(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -101,7 +135,6 @@ class WordTokens:
             if self.known + len(fresh) > self.words or self.used > CACHE_IDS:
                 fresh, where = np.unique(keys, return_index=True)
                 self.words = max(self.words, len(fresh))  # one text of very many words makes room for itself
-                self.slots = power_of_two(2 * self.words)
                 self._forget()
             self._learn(fresh, [data[a:b].tobytes().decode("utf-8", "replace") for a, b in zip(starts[where], ends[where], strict=True)])
             slot = self._slots_of(keys)
@@ -143,6 +176,7 @@ def _pieces(path: str, capacity: int, with_ids: bool):
                 columns.append(pa.array(ids, pa.list_(pa.int32())))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(columns, names)
+        tokens.rest()
 
     return run
 

@@ -251,6 +251,29 @@ def test_word_table_forgets_and_grows():
     assert table.words > 100
 
 
+def test_a_worker_rests_with_a_small_word_table(monkeypatch):
+    path, rng = packing.default_tokenizer(), random.Random(13)
+    packing._word_tokens.cache_clear()
+    table, run = packing._word_tokens(path), packing._pieces(path, 2048, True)
+    first = [f"{rng.getrandbits(40):x}" for _ in range(50)]
+
+    def task(words_):
+        batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([" ".join(words_)])], ["id", "text"])
+        got = [i for part in run(iter([batch])) for own in part.column("ids").to_pylist() for i in own]
+        assert got == [*table.tokenizer.encode(" ".join(words_), add_special_tokens=False).ids, 0]
+        return sum(x.nbytes for x in (table.keys, table.at, table.size, table.ids))
+
+    assert task(first) <= 1 << 20 and table.known == 50
+    monkeypatch.setattr(packing, "REST_WORDS", 1000)
+    for _ in range(2):
+        assert task(first + [f"{rng.getrandbits(40):x}" for _ in range(20_000)]) <= 1 << 20 and table.known == 1000
+    monkeypatch.setattr(packing, "REST_IDS", 100)
+    assert task(first) <= 1 << 20 and table.known < 50 and table.used <= 100
+    monkeypatch.setattr(packing, "REST_IDS", 0)
+    assert task(first) <= 1 << 20 and table.known == 0 and table.used == 0
+    packing._word_tokens.cache_clear()
+
+
 def best_fit_decreasing(lengths, capacity):
     room = []
     for x in sorted(lengths, reverse=True):
