@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -24,6 +24,27 @@ def strip(column: Column) -> Column:
     return F.regexp_replace(column, r"(?U)^\s+|\s+$", "")
 
 
+def strip_text(column: Column) -> Column:
+    """strip for long texts: only those with white space at an end are searched for it."""
+
+    def of(t: Column) -> Column:
+        return F.when(F.concat(F.left(t, F.lit(1)), F.right(t, F.lit(1))).rlike(r"(?U)\s"), strip(t)).otherwise(t)
+
+    return let(column, of)
+
+
+def spaced(text: Column, but: str = "") -> Column:
+    """Runs of white space (of any script, but not of the characters in `but`) as one blank each. Single blanks, which are
+    nearly all runs, are no matches and cost no replacement."""
+    return F.regexp_replace(text, rf"(?U)[^\S {but}][^\S{but}]*| [^\S{but}]+", " ")
+
+
+def filled(df: DataFrame, column: str) -> DataFrame:
+    """Rows whose column is neither null nor empty. A plain filter would be pushed below the projection that computes the
+    column, and compute it twice; a generator over the finished column is not."""
+    return df.select(*[F.explode(F.filter(F.array(c), lambda x: x != "")).alias(c) if c == column else c for c in df.columns])
+
+
 def truthy(column: Column | str) -> Column:
     """The value, or null where it is null or empty."""
     column = F.col(column) if isinstance(column, str) else column

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusmill.config import CONTROL, HEBREW, NIQQUD, PUNCTUATION, ZERO_WIDTH
-from corpusmill.functions.columns import let, strip, text_or_empty, truthy
+from corpusmill.functions.columns import filled, let, spaced, strip, strip_text, text_or_empty, truthy
 
 
 @F.pandas_udf(T.StringType())
@@ -23,26 +23,39 @@ def _nfc(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: unicodedata.normalize("NFC", t), na_action="ignore")
 
 
+#: Characters that NFC leaves alone wherever they stand: those before the first combining mark, and Hebrew letters.
+STABLE = r"^[\x00-\u02FF\u05D0-\u05EA]*$"
+
+
 def nfc(text: Column) -> Column:
-    """Unicode NFC. Spark has no such function; texts that are ASCII throughout never leave the JVM with their content."""
-    return F.coalesce(_nfc(F.when(~text.rlike(r"^\p{ASCII}*$"), text)), text)
+    """Unicode NFC. Spark has no such function; texts of stable characters throughout never leave the JVM with their content."""
+    return F.coalesce(_nfc(F.when(~text.rlike(STABLE), text)), text)
 
 
 def squeeze_newlines(text: Column) -> Column:
     return F.regexp_replace(text, r"\n{3,}", "\n\n")
 
 
+def _bare(t: Column) -> Column:
+    """Without niqqud, zero-width and control characters, with Hebrew punctuation mapped and apart from Latin letters.
+
+    What a text can't hold isn't searched for: ASCII texts hold control characters at most, and punctuation is Hebrew."""
+    bare = F.regexp_replace(t, f"[{NIQQUD}{ZERO_WIDTH}{CONTROL}]", "")
+    mapped = reduce(lambda x, pair: F.replace(x, F.lit(pair[0]), F.lit(pair[1])), PUNCTUATION.items(), bare)
+    apart = F.regexp_replace(F.regexp_replace(mapped, f"({HEBREW})([a-zA-Z])", "$1 $2"), f"([a-zA-Z])({HEBREW})", "$1 $2")
+    return F.when(t.rlike(r"^\p{ASCII}*$"), F.regexp_replace(t, CONTROL, "")).when(t.rlike(HEBREW), apart).otherwise(bare)
+
+
+def _squeezed(t: Column) -> Column:
+    """Lines of blanks alone go, then blank lines are squeezed."""
+    bare = F.when(F.contains(t, F.lit("\n ")), F.regexp_replace(t, r"\n[ \t]+\n", "\n\n")).otherwise(t)
+    return F.when(F.contains(t, F.lit("\n\n")) | F.contains(t, F.lit("\n ")), squeeze_newlines(bare)).otherwise(t)
+
+
 def clean_text(text: Column, normalise: bool = True) -> Column:
     """General cleaning of a text; with normalise=False without NFC, and then JVM-side throughout."""
-    out = nfc(text) if normalise else text
-    for pattern in (NIQQUD, ZERO_WIDTH, CONTROL):
-        out = F.regexp_replace(out, pattern, "")
-    out = F.translate(out, "".join(PUNCTUATION), "".join(PUNCTUATION.values()))
-    out = F.regexp_replace(out, f"({HEBREW})([a-zA-Z])", "$1 $2")
-    out = F.regexp_replace(out, f"([a-zA-Z])({HEBREW})", "$1 $2")
-    out = F.regexp_replace(out, r"(?U)[^\S\n]+", " ")
-    out = F.regexp_replace(out, r"\n[ \t]+\n", "\n\n")
-    return strip(squeeze_newlines(out))
+    out = let(nfc(text) if normalise else text, _bare)
+    return strip_text(let(spaced(out, r"\n"), _squeezed))
 
 
 def clean_lines(text: Column) -> Column:
@@ -111,17 +124,16 @@ def clean_documents(df: DataFrame, normalise: bool = True) -> DataFrame:
     (those not read), source_dir, source, title, text and meta. Wiki rows take wikitext, or text where that is empty.
     """
     have = lambda c: F.col(c) if c in df.columns else F.lit(None).cast("string")
-    court = clean_text(clean_lines(text_or_empty(have("text"))), normalise)
-    wiki = clean_text(clean_wikitext(F.coalesce(truthy(have("wikitext")), text_or_empty(have("text")))), normalise)
     source = F.col("source_dir")
     is_court, is_wiki = source == "court", source.isin("kolzchut", "wikisource_laws")
-    text = F.when(is_court, court).when(is_wiki, wiki)
+    body = F.when(is_court, clean_lines(text_or_empty(have("text")))).when(is_wiki, clean_wikitext(F.coalesce(truthy(have("wikitext")), text_or_empty(have("text")))))
     meta = F.to_json(F.struct(*[F.when(is_court, have(c)).alias(c) for c in COURT_META], *[F.when(is_wiki, have(c)).alias(c) for c in WIKI_META]))
     read = {"text", "wikitext", "title", "source", *COURT_META, *WIKI_META, "source_dir"}
+    # A text is finished before the general cleaning, which names it several times, and that before empty ones go.
     out = df.where(is_court | is_wiki).select(
-        *[c for c in df.columns if c not in read], "source_dir", F.when(source == "wikisource_laws", "wikisource").otherwise(source).alias("source"), F.coalesce(have("title"), F.lit("")).alias("title"), text.alias("text"), meta.alias("meta")
+        *[c for c in df.columns if c not in read], "source_dir", F.when(source == "wikisource_laws", "wikisource").otherwise(source).alias("source"), F.coalesce(have("title"), F.lit("")).alias("title"), body.alias("text"), meta.alias("meta")
     )
-    return out.where("text <> ''")
+    return filled(out.withColumn("text", clean_text(F.col("text"), normalise)), "text")
 
 
 def law_text(df: DataFrame, *keep: str) -> DataFrame:

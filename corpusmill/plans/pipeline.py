@@ -7,7 +7,7 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 
 from corpusmill.config import HEBREW_PROFILE, LATIN_PROFILE, FilterConfig, FormatConfig
-from corpusmill.functions.columns import text_or_empty
+from corpusmill.functions.columns import filled, text_or_empty
 from corpusmill.functions.scrub import scrub_documents
 from corpusmill.functions.signals import filter_documents
 from corpusmill.functions.text import clean_documents, clean_text
@@ -24,7 +24,7 @@ def clean_step(df: DataFrame) -> DataFrame:
     """Rows with source_dir are raw documents: each source's own rules, other sources go. Rows without are plain texts."""
     if "source_dir" in df.columns:
         return clean_documents(df)
-    return df.withColumn("text", clean_text(text_or_empty("text"))).where("text <> ''")
+    return filled(df.withColumn("text", clean_text(text_or_empty("text"))), "text")
 
 
 def run(df: DataFrame, profile: FilterConfig = HEBREW_PROFILE, near: bool = True, config: FormatConfig | None = None, last: str = "format") -> dict[str, DataFrame]:
