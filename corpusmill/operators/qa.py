@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,6 +12,7 @@ from corpusmill.config import QaConfig
 from corpusmill.functions.columns import strip, text_or_empty
 from corpusmill.functions.signals import word_count
 from corpusmill.operators.stats import sample_per_source, seeded_place
+from corpusmill.operators.workers import bound_batches, give_back
 
 # Fixed value: the instruction that asks for three question-answer pairs.
 PROMPT = """אתה מומחה למשפט ישראלי. קרא את הטקסט המשפטי הבא וצור ממנו 3 זוגות של שאלה-תשובה בעברית.
@@ -99,29 +100,38 @@ def parse_replies(df: DataFrame, reply: str = "reply", min_answer: int = 20) ->
     return out.select(*[c for c in df.columns if c != reply], "_pair.question", "_pair.answer", F.array(turn("user", F.col("_pair.question")), turn("assistant", F.col("_pair.answer"))).alias("conversations"))
 
 
+#: Prompts whose replies a worker collects before it passes them on.
+ASKED = 256
+
+
 def call_model(df: DataFrame, load: Callable[[], Callable[[str], str]], key: str = "doc_id", prompt: str = "prompt") -> DataFrame:
     """(key, prompt) -> (key, reply, outcome, done). `load` makes a client once for each task; the client may raise.
 
     Outcomes: ok and malformed (no JSON array) and blocked are done; limited (quota) and failed are tried again by the next
     run, which joins the work list with what is done.
+
+    A worker holds one batch of a few MB and the rows of one slice of it, however many prompts a task has.
     """
     kind = df.schema[key].dataType.simpleString()
+    bound_batches(df.sparkSession)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ask = load()
         for batch in batches:
-            replies, outcomes = [], []
-            for text in batch[prompt]:
-                try:
-                    replies.append(ask(text))
-                    outcomes.append("ok")
-                except Exception as error:  # noqa: BLE001  a client may raise anything
-                    said = str(error).lower()
-                    replies.append(None)
-                    outcomes.append("limited" if "429" in said or "quota" in said else "blocked" if "block" in said or "safety" in said else "failed")
-            yield pd.DataFrame({key: batch[key], "reply": replies, "outcome": outcomes})
-
-    asked = df.select(key, prompt).mapInPandas(run, f"{key} {kind}, reply string, outcome string")
+            for at in range(0, batch.num_rows, ASKED):
+                rows, replies, outcomes = batch.slice(at, ASKED), [], []
+                for text in rows.column(prompt):
+                    try:
+                        replies.append(ask(text.as_py()))
+                        outcomes.append("ok")
+                    except Exception as error:  # noqa: BLE001  a client may raise anything
+                        said = str(error).lower()
+                        replies.append(None)
+                        outcomes.append("limited" if "429" in said or "quota" in said else "blocked" if "block" in said or "safety" in said else "failed")
+                yield pa.RecordBatch.from_arrays([rows.column(key), pa.array(replies, pa.string()), pa.array(outcomes, pa.string())], [key, "reply", "outcome"])
+        give_back()
+
+    asked = df.select(key, prompt).mapInArrow(run, f"{key} {kind}, reply string, outcome string")
     outcome = F.when((F.col("outcome") == "ok") & parsed_pairs(F.col("reply")).isNull(), "malformed").otherwise(F.col("outcome"))
     return asked.withColumn("outcome", outcome).withColumn("done", F.col("outcome").isin("ok", "malformed", "blocked"))
 
