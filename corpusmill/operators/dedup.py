@@ -9,8 +9,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.functions.columns import strip, text_or_empty
+from corpusmill.functions.columns import spaced, strip_text, text_or_empty
 from corpusmill.operators.tables import Tables
+from corpusmill.operators.workers import bound_batches, give_back, joined_batches
 
 PERMUTATIONS = 128
 #: Bands and rows a band for the similarity threshold 0.7: they minimise the areas of false positives and false negatives.
@@ -20,7 +21,7 @@ SHINGLE = 5
 
 def normalised(text: Column) -> Column:
     """White space collapsed, stripped, lower case: what duplicates are compared by."""
-    return F.lower(strip(F.regexp_replace(text, r"(?U)\s+", " ")))
+    return F.lower(strip_text(spaced(text)))
 
 
 def exact_marks(df: DataFrame, key: str = "doc_id", source: str = "source", text_col: str = "text") -> DataFrame:
@@ -70,22 +71,125 @@ def band_hashes(text: str, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     shingles = shingle_hashes(text)
     for at in range(0, len(shingles), 2048):
         low = np.minimum(low, _mixed(shingles[at : at + 2048, None] * a + b).min(axis=0))
-    rows = low[: BANDS * ROWS].reshape(BANDS, ROWS)
-    key = np.arange(1, BANDS + 1, dtype=np.uint64)
+def _keyed(low: np.ndarray) -> np.ndarray:
+    """Band hashes of signatures: the last axis goes from permutations to bands."""
+    rows = low[..., : BANDS * ROWS].reshape(*low.shape[:-1], BANDS, ROWS)
+    key = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), rows.shape[:-1])
     for k in range(ROWS):
-        key = _mixed(key * np.uint64(0x9E3779B97F4A7C15) + rows[:, k])
+        key = _mixed(key * np.uint64(0x9E3779B97F4A7C15) + rows[..., k])
     return key.view(np.int64)
 
 
+    return _keyed(low)
+
+
+#: Characters whose shingles are hashed together, about; numbers hashed in one call; the share of hashes that minima are looked for in first.
+TOGETHER, BLOCK, SHARE = 1 << 20, 1 << 14, 64
+
+
+def _permuted(x: np.ndarray, a: np.uint64, b: np.uint64, out: np.ndarray, spare: np.ndarray) -> None:
+    """_mixed(x * a + b) into out, in blocks that stay in a core's cache."""
+    shift = np.uint64(33)
+    for at in range(0, len(x), BLOCK):
+        o = out[at : at + BLOCK]
+        t = spare[: len(o)]
+        np.multiply(x[at : at + BLOCK], a, out=o)
+        np.add(o, b, out=o)
+        for factor in (np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53), None):
+            np.right_shift(o, shift, out=t)
+            np.bitwise_xor(o, t, out=o)
+            if factor is not None:
+                np.multiply(o, factor, out=o)
+
+
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers start, start + 1, ... of every range, one range after the other."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
+
+
+def _signatures(texts: list[str], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """MinHash minima of the banded permutations for texts of SHINGLE characters at least, the same that band_hashes takes.
+
+    A shingle that many of the texts share is hashed once for all. A text's minimum is looked for among the smallest hashes
+    first, through the list of each shingle's texts; only texts that have none of those go through all of their own.
+    """
+    sizes = np.array([len(t) - SHINGLE + 1 for t in texts])
+    points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    h = np.full(len(points) - SHINGLE + 1, np.uint64(SHINGLE))
+    for k in range(SHINGLE):
+        h *= np.uint64(0x100000001B3)
+        h += points[k : k + len(h)]
+    starts = np.cumsum(sizes + SHINGLE - 1) - (sizes + SHINGLE - 1)
+    across = np.ones(len(h), bool)
+    across[(starts[1:, None] - np.arange(1, SHINGLE)).ravel()] = False  # shingles over the border of two texts
+    h = h[across]
+    order = np.argsort(h)
+    h = h[order]
+    new = np.ones(len(h), bool)
+    np.not_equal(h[1:], h[:-1], out=new[1:])
+    first = np.flatnonzero(new)  # of each distinct shingle, among its sorted places
+    often = np.diff(first, append=len(h))
+    inverse = np.empty(len(h), np.int32)
+    inverse[order] = np.cumsum(new) - 1
+    owner = np.repeat(np.arange(len(texts), dtype=np.int32), sizes)[order]
+    begins = np.cumsum(sizes) - sizes
+    distinct = _mixed(h[first])
+    del h, order, new, points, across
+    value, spare, most = np.empty_like(distinct), np.empty(BLOCK, np.uint64), np.uint64(0xFFFFFFFFFFFFFFFF)
+    low = np.full((BANDS * ROWS, len(texts)), most)
+    for i, mine in enumerate(low):
+        _permuted(distinct, a[i], b[i], value, spare)
+        small = np.flatnonzero(value < np.uint64((1 << 64) // SHARE))
+        small = small[np.argsort(value[small])[::-1]]
+        mine[owner[_ranges(first[small], often[small])]] = np.repeat(value[small], often[small])  # of several, the last one stays: the least
+        left = np.flatnonzero(mine == most)
+        if len(left):
+            own = value[inverse[_ranges(begins[left], sizes[left])]]
+            mine[left] = np.minimum.reduceat(own, np.cumsum(sizes[left]) - sizes[left])
+    return low.T
+
+
+def bands_of(texts: list[str], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """band_hashes of each text, a row a text, with the work of shared shingles done once for about TOGETHER characters."""
+    out = np.empty((len(texts), BANDS), np.int64)
+    pieces, held = [], 0
+
+    def done() -> None:
+        low = _signatures([p for _, p in pieces], a, b)
+        of = np.array([k for k, _ in pieces])
+        heads = np.flatnonzero(np.diff(of, prepend=-1))
+        whole[of[heads]] = np.minimum(whole[of[heads]], np.minimum.reduceat(low, heads, axis=0))
+
+    whole = np.full((len(texts), BANDS * ROWS), np.uint64(0xFFFFFFFFFFFFFFFF))
+    for k, text in enumerate(texts):
+        if len(text) < SHINGLE:
+            out[k] = band_hashes(text, a, b)
+            continue
+        for at in range(0, len(text) - SHINGLE + 1, TOGETHER):  # a text of many characters goes piece by piece
+            pieces.append((k, text[at : at + TOGETHER + SHINGLE - 1]))
+            held += len(pieces[-1][1])
+            if held >= TOGETHER:
+                done()
+                pieces, held = [], 0
+    if pieces:
+        done()
+    long = np.array([len(t) >= SHINGLE for t in texts], bool)
+    out[long] = _keyed(whole[long])
+    return out
+
+
 def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     a, b = _coefficients()
-    for batch in batches:
-        bands = [band_hashes(t.as_py(), a, b) for t in batch.column("norm")]
-        yield pa.RecordBatch.from_arrays([batch.column("source"), batch.column("ord"), pa.array(bands, pa.list_(pa.int64()))], ["source", "ord", "bands"])
+    for batch in joined_batches(batches, "norm", TOGETHER):
+        bands = bands_of(batch.column("norm").to_pylist(), a, b)
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(bands) + 1, dtype=np.int32) * BANDS), pa.array(bands.ravel()))
+        yield pa.RecordBatch.from_arrays([batch.column("source"), batch.column("ord"), lists], ["source", "ord", "bands"])
+    give_back()
 
 
-def near_marks(df: DataFrame, key: str = "doc_id", source: str = "source", text_col: str = "text") -> DataFrame:
-    """(source, key, is_near_duplicate) by the greedy rule: in key order within a source, a document is dropped if one of
+def near_dropped(df: DataFrame, key: str = "doc_id", source: str = "source", text_col: str = "text") -> DataFrame:
+    """(source, key) of the documents that go by the greedy rule: in key order within a source, a document is dropped if one of
     its bands collides with a document kept before it. There is no similarity check, and dropped documents drop nobody.
 
     Documents are decided in rounds over the buckets of those still open. The first open document of a bucket is a minimum;
@@ -100,6 +204,7 @@ def near_marks(df: DataFrame, key: str = "doc_id", source: str = "source", text_
     # A bucket is a source and a band's hash (which the band is part of); a null source is one of its own.
     rows = tables.save(banded.select("source", "ord", F.explode("bands").alias("hash")).withColumn("bucket", F.xxhash64(F.coalesce(F.col("source").cast("string"), F.lit("")), F.col("source").isNull(), "hash")))
     # Joins by bucket are between stored tables, so that a bucket with very many documents can be split.
+    bound_batches(df.sparkSession)
     shared = tables.save(rows.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1").select("bucket"))
     open_ = tables.save(rows.join(shared, "bucket").select("source", "ord", "bucket"))
     same = lambda a, b: F.col(f"{a}.source").eqNullSafe(F.col(f"{b}.source")) & (F.col(f"{a}.ord") == F.col(f"{b}.ord"))
@@ -114,12 +219,17 @@ def near_marks(df: DataFrame, key: str = "doc_id", source: str = "source", text_
         dropped = df.sparkSession.read.schema(behind.schema).parquet(f"{gone}/turn={turn}")
         decided = kept.unionByName(dropped)
         open_, turn = tables.save(open_.alias("o").join(decided.alias("d"), same("o", "d"), "left_anti")), turn + 1
-    out = docs.select("source", "ord")
     if not turn:
-        return out.select(F.col("source").alias(source), F.col("ord").alias(key), F.lit(False).alias("is_near_duplicate"))
-    dropped = df.sparkSession.read.schema(out.schema).parquet(f"{gone}/turn=*").select(F.col("source").alias("gs"), F.col("ord").alias("go"))
-    out = out.join(dropped, F.col("source").eqNullSafe(F.col("gs")) & (F.col("ord") == F.col("go")), "left")
-    return out.select(F.col("source").alias(source), F.col("ord").alias(key), F.col("go").isNotNull().alias("is_near_duplicate"))
+        return docs.select(F.col("source").alias(source), F.col("ord").alias(key)).limit(0)
+    dropped = df.sparkSession.read.schema(docs.select("source", "ord").schema).parquet(f"{gone}/turn=*")
+    return dropped.select(F.col("source").alias(source), F.col("ord").alias(key))
+
+
+def near_marks(df: DataFrame, key: str = "doc_id", source: str = "source", text_col: str = "text") -> DataFrame:
+    """(source, key, is_near_duplicate): whether near_dropped has the document."""
+    gone = near_dropped(df, key, source, text_col).select(F.col(source).alias("gs"), F.col(key).alias("go"))
+    out = df.select(source, key).join(gone, F.col(source).eqNullSafe(F.col("gs")) & (F.col(key) == F.col("go")), "left")
+    return out.select(source, key, F.col("go").isNotNull().alias("is_near_duplicate"))
 
 
 def dedup(df: DataFrame, key: str = "doc_id", source: str = "source", text_col: str = "text", near: bool = True) -> DataFrame:
