@@ -27,20 +27,26 @@ def normalised(text: Column) -> Column:
 def exact_marks(df: DataFrame, key: str = "doc_id", source: str = "source", text_col: str = "text") -> DataFrame:
     """(source, key, text_hash, is_duplicate): per source and normalised text the smallest key is no duplicate.
 
-    The survivor is a minimum, found by an aggregate that starts before the shuffle, and only texts that repeat are kept
-    and stored. The join back is between two plain exchanges, so adaptive execution can split a hot text.
+    Texts are read and hashed once, and the hashes stored. The survivor is a minimum, found by an aggregate that starts before
+    the shuffle, and only texts that repeat are kept and stored. The join back is between two plain exchanges, so adaptive
+    execution can split a hot text.
     """
-    hashed = df.select(source, key, F.sha2(normalised(text_or_empty(text_col)), 256).alias("text_hash"))
+    hashed = Tables(df.sparkSession, "exact").save(df.select(source, key, F.sha2(normalised(text_or_empty(text_col)), 256).alias("text_hash")))
     first = hashed.groupBy(source, "text_hash").agg(F.min(key).alias("first_key"), F.count("*").alias("n")).where("n > 1").drop("n")
     first = Tables(df.sparkSession, "exact").save(first)
     joined = hashed.alias("h").join(first.alias("f"), (F.col("h.text_hash") == F.col("f.text_hash")) & F.col(f"h.{source}").eqNullSafe(F.col(f"f.{source}")), "left")
     return joined.select(F.col(f"h.{source}").alias(source), F.col(f"h.{key}").alias(key), F.col("h.text_hash").alias("text_hash"), F.coalesce(F.col(f"h.{key}") != F.col("first_key"), F.lit(False)).alias("is_duplicate"))
 
 
+def _without(df: DataFrame, gone: DataFrame, key: str, source: str) -> DataFrame:
+    """Rows of df that are not in gone, by source and key."""
+    gone = gone.select(F.col(source).alias("_s"), F.col(key).alias("_k"))
+    return df.join(gone, F.col(source).eqNullSafe(F.col("_s")) & (F.col(key) == F.col("_k")), "left_anti")
+
+
 def exact_dedup(df: DataFrame, key: str = "doc_id", source: str = "source", text_col: str = "text") -> DataFrame:
     """Rows of df that are no duplicate of an earlier one of their source."""
-    gone = exact_marks(df, key, source, text_col).where("is_duplicate").select(F.col(source).alias("_s"), F.col(key).alias("_k"))
-    return df.join(gone, F.col(source).eqNullSafe(F.col("_s")) & (F.col(key) == F.col("_k")), "left_anti")
+    return _without(df, exact_marks(df, key, source, text_col).where("is_duplicate"), key, source)
 
 
 def _coefficients() -> tuple[np.ndarray, np.ndarray]:
@@ -65,12 +71,6 @@ def shingle_hashes(text: str) -> np.ndarray:
     return np.unique(_mixed(h))
 
 
-def band_hashes(text: str, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """One hash for each band of the text's MinHash signature."""
-    low = np.full(PERMUTATIONS, np.uint64(0xFFFFFFFFFFFFFFFF))
-    shingles = shingle_hashes(text)
-    for at in range(0, len(shingles), 2048):
-        low = np.minimum(low, _mixed(shingles[at : at + 2048, None] * a + b).min(axis=0))
 def _keyed(low: np.ndarray) -> np.ndarray:
     """Band hashes of signatures: the last axis goes from permutations to bands."""
     rows = low[..., : BANDS * ROWS].reshape(*low.shape[:-1], BANDS, ROWS)
@@ -80,6 +80,12 @@ def _keyed(low: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
+def band_hashes(text: str, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """One hash for each band of the text's MinHash signature."""
+    low = np.full(PERMUTATIONS, np.uint64(0xFFFFFFFFFFFFFFFF))
+    shingles = shingle_hashes(text)
+    for at in range(0, len(shingles), 2048):
+        low = np.minimum(low, _mixed(shingles[at : at + 2048, None] * a + b).min(axis=0))
     return _keyed(low)
 
 
@@ -198,13 +204,13 @@ def near_dropped(df: DataFrame, key: str = "doc_id", source: str = "source", tex
     works on the rows of open documents alone, whatever the size of a bucket. What goes is written by round.
     """
     tables = Tables(df.sparkSession, "near")
+    bound_batches(df.sparkSession)
     docs = df.select(F.col(source).alias("source"), F.col(key).alias("ord"), normalised(text_or_empty(text_col)).alias("norm"))
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
     banded = docs.mapInArrow(_banded, f"source {kinds['source']}, ord {kinds['ord']}, bands array<long>")
     # A bucket is a source and a band's hash (which the band is part of); a null source is one of its own.
     rows = tables.save(banded.select("source", "ord", F.explode("bands").alias("hash")).withColumn("bucket", F.xxhash64(F.coalesce(F.col("source").cast("string"), F.lit("")), F.col("source").isNull(), "hash")))
     # Joins by bucket are between stored tables, so that a bucket with very many documents can be split.
-    bound_batches(df.sparkSession)
     shared = tables.save(rows.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1").select("bucket"))
     open_ = tables.save(rows.join(shared, "bucket").select("source", "ord", "bucket"))
     same = lambda a, b: F.col(f"{a}.source").eqNullSafe(F.col(f"{b}.source")) & (F.col(f"{a}.ord") == F.col(f"{b}.ord"))
@@ -238,16 +244,16 @@ def dedup(df: DataFrame, key: str = "doc_id", source: str = "source", text_col:
     if not near:
         return out
     out = Tables(df.sparkSession, "exact").save(out)
-    gone = near_marks(out, key, source, text_col).where("is_near_duplicate").select(F.col(source).alias("_s"), F.col(key).alias("_k"))
-    return out.join(gone, F.col(source).eqNullSafe(F.col("_s")) & (F.col(key) == F.col("_k")), "left_anti")
+    return _without(out, near_dropped(out, key, source, text_col), key, source)
 
 
 def dedup_stats(df: DataFrame, key: str = "doc_id", source: str = "source", text_col: str = "text", near: bool = True) -> DataFrame:
     """total, exact_dups, near_dups and kept by source."""
-    exact = exact_marks(df, key, source, text_col).groupBy(source).agg(F.count("*").alias("total"), F.count_if("is_duplicate").alias("exact_dups"))
+    marks = Tables(df.sparkSession, "exact").save(exact_marks(df, key, source, text_col).select(source, key, "is_duplicate"))
+    exact = marks.groupBy(source).agg(F.count("*").alias("total"), F.count_if("is_duplicate").alias("exact_dups"))
     if not near:
         return exact.withColumn("near_dups", F.lit(0).cast("long")).withColumn("kept", F.col("total") - F.col("exact_dups"))
-    unique = Tables(df.sparkSession, "exact").save(exact_dedup(df, key, source, text_col).select(key, source, text_col))
+    unique = _without(df.select(key, source, text_col), marks.where("is_duplicate"), key, source)
     found = near_marks(unique, key, source, text_col).groupBy(F.col(source).alias("_s")).agg(F.count_if("is_near_duplicate").alias("near_dups"))
     joined = exact.join(found, F.col(source).eqNullSafe(F.col("_s")), "left").drop("_s").withColumn("near_dups", F.coalesce("near_dups", F.lit(0).cast("long")))
     return joined.withColumn("kept", F.col("total") - F.col("exact_dups") - F.col("near_dups"))
