@@ -27,6 +27,8 @@ STRICT_SCRUB_RULES = (
     (r"(?U)\b0(?:5\d|[2-489])[- ]?\d{3}[- ]?\d{4}\b", "[טלפון]"),
     *SCRUB_RULES,
 )
+#: What every rule without an at sign needs, of both tables: nine digits with single separators at most.
+SCRUB_DIGITS = r"(?U)\d(?:[- ]?\d){8}"
 NAME_PLACEHOLDER = "[שם]"
 
 # Boilerplate of court documents.
@@ -38,6 +40,8 @@ BOILERPLATE = (
     r"(?U)(?:הוגש|נחתם) (?:ביום|בתאריך) [\d.]+",
     r"(?U)(?:המזכירות|מזכירות בית) ת(?:שלח|מציא)",
 )
+#: Words of which a text holds one if the pattern matches in it.
+BOILERPLATE_WORDS = {BOILERPLATE[1]: ("עמוד ",), BOILERPLATE[3]: ("בבית ",), BOILERPLATE[4]: ("הוגש ", "נחתם "), BOILERPLATE[5]: ("מזכירות",)}
 
 
 @dataclass(frozen=True)

@@ -7,13 +7,17 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.config import NAME_PLACEHOLDER, SCRUB_RULES, STRICT_SCRUB_RULES
-from corpusmill.functions.columns import text_or_empty
+from corpusmill.config import NAME_PLACEHOLDER, SCRUB_DIGITS, SCRUB_RULES, STRICT_SCRUB_RULES
+from corpusmill.functions.columns import let, text_or_empty
 
 
 def scrub(text: Column, strict: bool = False) -> Column:
-    """All rules in their order. strict=True also repairs international prefixes and unseparated landlines."""
-    return reduce(lambda t, rule: F.regexp_replace(t, rule[0], F.lit(rule[1])), STRICT_SCRUB_RULES if strict else SCRUB_RULES, text)
+    """All rules in their order. strict=True also repairs international prefixes and unseparated landlines.
+
+    Most texts hold neither an at sign nor nine digits in a row, and no rule can match in them: one search tells."""
+    rules = STRICT_SCRUB_RULES if strict else SCRUB_RULES
+    by = lambda t, own: reduce(lambda x, rule: F.regexp_replace(x, rule[0], F.lit(rule[1])), own, t)
+    return let(text, lambda t: F.when(t.rlike(SCRUB_DIGITS), by(t, rules)).when(F.contains(t, F.lit("@")), by(t, [r for r in rules if "@" in r[0]])).otherwise(t))
 
 
 def scrub_documents(df: DataFrame, text_col: str = "text", skip_marked: bool = False, strict: bool = False) -> DataFrame:

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import re
+from functools import cache, reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.config import BOILERPLATE, HEBREW_PROFILE, FilterConfig
+from corpusmill.config import BOILERPLATE, BOILERPLATE_WORDS, HEBREW_PROFILE, FilterConfig
 from corpusmill.functions.columns import let, strip, text_or_empty
 
 
@@ -25,8 +29,21 @@ def alpha_ratio(text: Column) -> Column:
 def script_ratio(text: Column, config: FilterConfig = HEBREW_PROFILE) -> Column:
     """Letters of the wanted script over all letters counted; 0 without any."""
     # Counted by what is left without them: Java tests a negated class of several ranges ten times slower than the class.
-    letters, wanted = (F.length(text) - F.length(F.regexp_replace(text, f"{c}+", "")) for c in (config.letters, config.script))
-    return F.when(letters == 0, F.lit(0.0)).otherwise(wanted / letters)
+    without = lambda t, c: F.regexp_replace(t, f"{c}+", "")
+    if not _within(config.script, config.letters):
+        letters, wanted = (F.length(text) - F.length(without(text, c)) for c in (config.letters, config.script))
+        return F.when(letters == 0, F.lit(0.0)).otherwise(wanted / letters)
+    # Wanted letters are letters: the others are counted in what is left without the wanted ones.
+    rests = F.transform(F.array(without(text, config.script)), lambda rest: F.struct(F.length(rest).alias("rest"), F.length(without(rest, config.letters)).alias("none")))
+    sizes = F.struct(F.length(text).alias("all"), F.element_at(rests, 1).alias("of"))
+    return let(sizes, lambda n: F.when(n["all"] == n["of"]["none"], F.lit(0.0)).otherwise((n["all"] - n["of"]["rest"]) / (n["all"] - n["of"]["none"])))
+
+
+@cache
+def _within(inner: str, outer: str) -> bool:
+    """Whether a class of single characters (of the basic plane) lies in another."""
+    plane = "".join(map(chr, range(0x10000)))
+    return set(re.findall(inner, plane)) <= set(re.findall(outer, plane))
 
 
 def ngram_repetition(text: Column, n: int = 5) -> Column:
@@ -48,7 +65,7 @@ def duplicate_line_ratio(text: Column) -> Column:
 
     def of(lines: Column) -> Column:
         total = F.length(F.array_join(lines, ""))
-        own = F.filter(lines, lambda x: strip(x) != "")
+        own = F.filter(lines, lambda x: x.rlike(r"(?U)\S"))
         repeats = F.length(F.array_join(own, "")) - F.length(F.array_join(F.array_distinct(own), ""))
         return F.when(total == 0, F.lit(0.0)).otherwise(repeats / total)
 
@@ -66,7 +83,13 @@ def short_line_ratio(text: Column, shorter_than: int = 30) -> Column:
 
 def boilerplate_ratio(text: Column, patterns: tuple[str, ...] = BOILERPLATE) -> Column:
     """Characters that patterns match over all characters, at most 1; overlaps of different patterns count twice."""
-    matched = sum((F.length(text) - F.length(F.regexp_replace(text, p, "")) for p in patterns), F.lit(0))
+
+    def of(p: str) -> Column:
+        found = F.length(text) - F.length(F.regexp_replace(text, p, ""))
+        words_ = [F.contains(text, F.lit(w)) for w in BOILERPLATE_WORDS.get(p, ())]
+        return F.when(reduce(or_, words_), found).otherwise(0) if words_ else found
+
+    matched = sum((of(p) for p in patterns), F.lit(0))
     return F.when(text == "", F.lit(0.0)).otherwise(F.least(matched / F.length(text), F.lit(1.0)))
 
 
